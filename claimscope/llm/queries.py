@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimscope.llm import chat_format, quality_rules, url_reputation
+from claimscope.llm import chat_format, packing, quality_rules, url_reputation
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -61,6 +61,18 @@ select conv_id, n_turns::bigint as n_turns, sha256(turns) as turns_sha256, lengt
 """
 
 
+def tokenizer_path() -> str:
+    """Where the installed vocabulary file lies, on the driver and the executors alike."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(_read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), with_ids=False)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcome = _read(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.expr("quality = 0 or toxic = 1").alias("bad"))
     judged = url_reputation.judge(_read(spark, sf_dir, "pages").select("page_id", "url"), outcome)
@@ -99,7 +111,7 @@ from p left join f using (page_id) left join hm using (host)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op3_chat_format, op10_url_reputation)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_chat_format, op6_best_fit_packing, op10_url_reputation)}
 
 
 def oracle_sql() -> dict[str, str]:
