@@ -57,23 +57,33 @@ def remainder(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus
 
 
-def ordinals(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, seed: int, slices: int = 4096) -> DataFrame:
+def ordinals(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, seed: int, slices: int = 4096, extra: DataFrame | None = None) -> DataFrame:
     """Adds the 0-based rank of each row among the rows of equal ``keys`` in a seeded hash order.
 
     Rows are ranked within (keys, slice of the hash); slice offsets are summed over counts, which
     are at most ``slices`` rows a key. So a key with a third of all rows is ranked by many tasks.
-    Rows that are equal in ``order`` get neighbouring ranks in any order.
+    Rows that are equal in ``order`` get neighbouring ranks in any order. ``extra`` has one row for
+    each of ``keys`` and further columns, which the result gets too.
     """
     draw = F.xxhash64(*[F.col(c) for c in order], F.lit(seed))
     dealt = df.withColumn("__draw", draw).withColumn("__slice", F.pmod(F.shiftrightunsigned("__draw", 20), F.lit(slices)).cast("int"))
     sizes = dealt.groupBy(*keys, "__slice").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(*keys, "__slice", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    if extra is not None:
+        starts = attach(starts, extra, keys)
     within = Window.partitionBy(*keys, "__slice").orderBy("__draw", *order)
     ranked = dealt.withColumn("__rn", F.row_number().over(within).cast("long") - 1)
-    same = [ranked[k].eqNullSafe(starts[k]) for k in (*keys, "__slice")]
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    kept = [ranked[c] for c in df.columns]
-    return ranked.join(starts, cond, "left").select(*kept, (ranked["__rn"] + starts["__start"]).alias(name))
+    joined = attach(ranked, starts, [*keys, "__slice"])
+    more = [c for c in (extra.columns if extra is not None else []) if c not in keys]
+    return joined.select(*df.columns, (F.col("__rn") + F.col("__start")).alias(name), *more)
+
+
+def attach(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """``df`` with the further columns of ``other``, joined where all ``keys`` are equal, nulls too."""
+    more = [c for c in other.columns if c not in keys]
+    side = other.select(*[F.col(k).alias(f"__on{i}") for i, k in enumerate(keys)], *more)
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__on{i}"))
+    return df.join(side, cond, how).select(*df.columns, *([] if how in ("left_semi", "left_anti") else more))
