@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimscope.llm import chat_format, mixing, packing, quality_rules, url_reputation
+from claimscope.llm import chat_format, mixing, near_dup, packing, quality_rules, url_reputation
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -61,6 +61,23 @@ select conv_id, n_turns::bigint as n_turns, sha256(turns) as turns_sha256, lengt
 """
 
 
+def op5_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_read(spark, sf_dir, "documents").select("doc_id", "text"), width=4)
+
+
+OP5_SQL = r"""
+with recursive w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents),
+s as (select distinct doc_id, array_to_string(ws[i:i + 3], ' ') as g from w, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) t(i) where len(ws) > 0),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by all),
+e as (select p.a, p.b from p join n x on x.doc_id = p.a join n y on y.doc_id = p.b where 100 * k >= 80 * (x.n + y.n - k)),
+r as (select doc_id, doc_id as c from documents union select r.doc_id, e.b from r join e on e.a = r.c),
+m as (select doc_id, min(c) as component_id from r group by doc_id)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, m.component_id, d.doc_id = m.component_id as kept
+from documents d join m using (doc_id) left join n using (doc_id)
+"""
+
+
 def tokenizer_path() -> str:
     """Where the installed vocabulary file lies, on the driver and the executors alike."""
     import public_tokenizers
@@ -116,8 +133,8 @@ from p left join f using (page_id) left join hm using (host)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op3_chat_format, op6_best_fit_packing, op7_source_mixing, op10_url_reputation)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_chat_format, op5_minhash_near_dup, op6_best_fit_packing, op7_source_mixing, op10_url_reputation)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": OP1_SQL, "op3_chat_format": OP3_SQL, "op10_url_reputation": OP10_SQL}
+    return {"op1_quality_rules": OP1_SQL, "op3_chat_format": OP3_SQL, "op5_minhash_near_dup": OP5_SQL, "op10_url_reputation": OP10_SQL}
