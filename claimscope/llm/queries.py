@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimscope.llm import chat_format, cws, mixing, near_dup, packing, quality_rules, url_reputation
+from claimscope.llm import chat_format, cws, lang_id, mixing, near_dup, packing, quality_rules, url_reputation
+from claimscope.llm.common import remainder
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -61,6 +62,13 @@ select conv_id, n_turns::bigint as n_turns, sha256(turns) as turns_sha256, lengt
 """
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", remainder("doc_id", lang_id.MODULUS) == lang_id.HELD_OUT)
+    model = lang_id.learn(docs, ~F.col("held_out"))
+    return lang_id.predict(docs, model, keep=["doc_id", "held_out"])
+
+
 def op5_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_read(spark, sf_dir, "documents").select("doc_id", "text"), width=4)
 
@@ -137,7 +145,7 @@ from p left join f using (page_id) left join hm using (host)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op3_chat_format, op5_minhash_near_dup, op6_best_fit_packing, op7_source_mixing, op9_weighted_fingerprints, op10_url_reputation)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_chat_format, op4_language_id, op5_minhash_near_dup, op6_best_fit_packing, op7_source_mixing, op9_weighted_fingerprints, op10_url_reputation)}
 
 
 def oracle_sql() -> dict[str, str]:
