@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimscope.llm import chat_format, cws, lang_id, mixing, near_dup, packing, quality_rules, url_reputation
+from claimscope.llm import chat_format, cws, lang_id, mixing, near_dup, packing, pii, quality_rules, url_reputation
 from claimscope.llm.common import remainder
 
 
@@ -103,6 +103,10 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cws.edited_neighbours(_read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -145,7 +149,7 @@ from p left join f using (page_id) left join hm using (host)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op3_chat_format, op4_language_id, op5_minhash_near_dup, op6_best_fit_packing, op7_source_mixing, op9_weighted_fingerprints, op10_url_reputation)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_chat_format, op4_language_id, op5_minhash_near_dup, op6_best_fit_packing, op7_source_mixing, op8_feistel_pii, op9_weighted_fingerprints, op10_url_reputation)}
 
 
 def oracle_sql() -> dict[str, str]:
