@@ -43,7 +43,9 @@ def file_stem() -> Column:
 
 def facility_type(stem: Column) -> Column:
     """The kind of facility that an owners file is about, from its name."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(stem, r"(?i)_?all_?owners.*$", ""), "%20", " "), "_+", " "))
+    label = F.regexp_replace(F.regexp_replace(stem, r"(?i)[_\s-]*all[_\s-]*owners.*$", ""), r"(?i)owners.*$", "")
+    short = F.lower(F.btrim(label, F.lit("_- .")))
+    return F.when(short == "", F.lower(stem)).otherwise(short)
 
 
 def union_files(frames: list[DataFrame]) -> DataFrame:
