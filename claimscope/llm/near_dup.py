@@ -214,6 +214,9 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The rows of ``df`` without near-duplicates: one row of each component, columns unchanged."""
-    found = near_duplicates(df, key, text, width, percent).where("kept").select(F.col(key).alias("__key")).distinct()
-    one = Window.partitionBy(key).orderBy(F.col(text).desc_nulls_last())
-    return df.join(found, F.col(key).eqNullSafe(F.col("__key")), "left_semi").withColumn("__nth", F.row_number().over(one)).where("__nth = 1").drop("__nth")
+    same = {"__no_key": F.col(key).isNull(), "__key": F.coalesce(F.col(key).cast("string"), F.lit(""))}
+    found = near_duplicates(df, key, text, width, percent).where("kept").select(*[c.alias(k) for k, c in same.items()]).distinct()
+    # the join and the window deal the texts out by the same columns, so they are shuffled once
+    met = df.withColumns(same).join(found, list(same), "left_semi")
+    one = Window.partitionBy(*same).orderBy(F.col(text).desc_nulls_last())
+    return met.withColumn("__nth", F.row_number().over(one)).where("__nth = 1").select(*df.columns)
