@@ -35,27 +35,43 @@ from claimscope.llm.common import materialize, ordinals, tune
 CAPACITY, END_ID = 4096, 1
 GROUPS, SMALL_PART = 48, 16
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
 
 
 class _WordIds(dict):
-    """Ids of one blank-separated word as little-endian bytes; forgets all when it is full."""
+    """Ids of one blank-separated word as little-endian bytes.
+
+    Two generations: when one is full it becomes the old one, and words that are met again move
+    over, so frequent words stay.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.encode = Tokenizer.from_file(path).encode
+        self.old: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        ids = self.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        out = np.array(ids, "<u4").tobytes()
+        out = self.old.get(word)
+        if out is None:
+            # a point or comma after a letter is a token of its own, so the word itself is shared
+            if len(word) > 1 and word[-1] in b".," and 97 <= word[-2] <= 122:
+                out = self[word[:-1]] + self[word[-1:]]
+            else:
+                out = np.array(self.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
         if len(word) <= 64:
+            if len(self) >= CACHE_WORDS:
+                self.old = dict(self)
+                self.clear()
             self[word] = out
         return out
 
 
+def words(raw: bytes) -> list[bytes]:
+    """The text's words. The tokenizer lowers A-Z itself; where it might see a control string, it shall."""
+    return (raw if b"<|" in raw else raw.lower()).split()
+
+
 _word_ids: dict[str, _WordIds] = {}
 
 
@@ -79,7 +95,7 @@ def pieces(df: DataFrame, tokenizer_path: str, text: str = "text", keep: Sequenc
         for batch in batches:
             row, piece, start, ids = [], [], [], []
             for i, raw in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
-                whole = b"".join(map(ids_of.__getitem__, (raw or b"").split())) + end
+                whole = b"".join(map(ids_of.__getitem__, words(raw or b""))) + end
                 for at in range(0, len(whole), step):
                     row.append(i)
                     piece.append(at // step)
