@@ -133,14 +133,9 @@ def test_language_model(spark):
     held = [r for r in got if r["doc_id"] % 7 == 2 and r["doc_id"] < 60]
     assert np.mean([r["bits_per_byte"] for r in held]) < 4
     # bit predictions make a distribution: the first bytes' probabilities sum to one
-    p = lm_mixing.probabilities([bytes([b]) for b in range(256)], learned["model"])
-    first = 0.0
-    for b in range(256):
-        slots, bit, _, place, kind = lm_mixing.coded([bytes([b])])
-        stretch, sure = lm_mixing.predictions(learned["model"]["n0"][slots], learned["model"]["n1"][slots])
-        q = lm_mixing._refined(lm_mixing._mixed(stretch, learned["model"]["weights"][place * lm_mixing.SURE + sure]), kind, learned["model"]["map"])
-        first += np.prod(np.where(bit == 1, q, 1 - q))
-    assert first == pytest.approx(1) and len(p) == 256
+    model = lm_mixing.frozen(learned["model"])
+    first = sum(np.prod(lm_mixing.bit_probabilities([bytes([b])], model)[0]) for b in range(256))
+    assert first == pytest.approx(1)
 
 
 def test_language_model_rare_words_and_empty(spark, monkeypatch):
