@@ -121,3 +121,19 @@ def fit_boosted(df: DataFrame, numeric: list[str], categorical: list[str], label
 def score_boosted(model: PipelineModel, df: DataFrame, numeric: list[str], key: str) -> DataFrame:
     ready = df.withColumns({c: F.col(c).cast("double") for c in numeric})
     return model.transform(ready).select(key, vector_to_array("probability")[1].alias("score"))
+
+
+def describe(scored: DataFrame, frame: DataFrame, key: str, features: list[str], top: int = 3) -> DataFrame:
+    """Adds description: the ``top`` features of each row's path importance, with their side of the median.
+
+    Meant for the rows that are shown; medians are one row over ``frame``.
+    """
+    medians = frame.agg(*[F.median(f).alias(f"__m_{f}") for f in features])
+    met = scored.join(frame.select(key, *features), key).crossJoin(F.broadcast(medians))
+    parts = F.array(*[
+        F.struct((-F.col("importance")[i]).alias("o"), F.lit(f).alias("f"), F.when(F.col(f) > F.col(f"__m_{f}"), "high").when(F.col(f) < F.col(f"__m_{f}"), "low").otherwise("typical").alias("d"), F.col("importance")[i].alias("i"))
+        for i, f in enumerate(features)
+    ])
+    best = F.filter(F.slice(F.array_sort(parts), 1, top), lambda x: x["i"] > 0)
+    text = F.transform(best, lambda x: F.concat(x["f"], F.lit(" "), x["d"], F.lit(" ("), F.bround(x["i"] * 100).cast("int").cast("string"), F.lit("%)")))
+    return met.withColumn("description", F.array_join(text, "; ")).select(*scored.columns, "description")

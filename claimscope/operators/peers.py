@@ -160,3 +160,14 @@ TIERS = ("1_L1_billed_after_exclusion", "2_L1_implausible_rate", "3_L1_excluded_
 def priority_tier(billed_after: Column, implausible_rate: Column, excluded_after: Column, anomaly: Column, owner: Column) -> Column:
     flags = [F.coalesce(c, F.lit(False)) for c in (billed_after, implausible_rate, excluded_after, anomaly, owner)]
     return F.coalesce(*[F.when(f, t) for f, t in zip(flags, TIERS)], F.lit(TIERS[-1]))
+
+
+def rule_reasons() -> Column:
+    """Reasons of the deterministic rules, as a list; empty where none applies."""
+    billed = F.concat(F.lit("billed_after_exclusion(paid_after=$"), F.format_number(F.col("paid_after_exclusion").cast("double"), 0), F.lit(",months="), F.col("n_months_after").cast("string"), F.lit(")"))
+    return F.array_compact(F.array(
+        F.when(F.coalesce("billed_after_exclusion", F.lit(False)), billed),
+        F.when(F.coalesce("excluded_after_billing", F.lit(False)), F.lit("excluded_after_billing(on_LEIE,billing_predates_exclusion)")),
+        F.when(F.col("rule_implausible_lines_per_patient"), F.format_string("implausible_lines_per_patient(=%.1f)", F.col("lines_per_patient_instance"))),
+        F.when(F.col("rule_implausible_paid_per_line"), F.concat(F.lit("implausible_paid_per_claim_line(=$"), F.format_number("paid_per_claim_line", 0), F.lit(")"))),
+    ))

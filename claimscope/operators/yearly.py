@@ -103,3 +103,11 @@ def onset_slope(monthly: DataFrame) -> DataFrame:
     first = F.min("m").over(Window.partitionBy("npi"))
     early = active.withColumn("first", first).where("rn <= 6 and first > m0 and floor((m - 1) / 12) = floor((first - 1) / 12)")
     return early.groupBy("npi").agg(F.when(F.count(F.lit(1)) >= 4, F.regr_slope(F.ln(F.col("p") + 1), F.col("m").cast("double"))).alias("onset_slope"))
+
+
+def provider_summary(scored_years: DataFrame, score: str = "score", flag: str = "is_anomaly") -> DataFrame:
+    """One row a provider from scored years: worst year and score, mean score, years seen and flagged."""
+    return scored_years.groupBy("npi").agg(
+        F.max(F.struct(F.col(score), -F.col("year")))[score].alias("max_score"), (-F.max(F.struct(F.col(score), (-F.col("year")).alias("y")))["y"]).alias("worst_year"),
+        F.avg(score).alias("mean_score"), F.count(F.lit(1)).alias("n_years"), F.count_if(F.col(flag)).alias("n_flagged"),
+    )

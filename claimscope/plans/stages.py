@@ -98,13 +98,13 @@ def detect(store: Store, cfg: Config = DEFAULT) -> None:
     store.put("fraud_leads_v2", v2)
     v3 = peers.score_concepts(frame, "npi", cfg)
     billed = exclusions.billed_while_excluded(base, listed).select("npi", "paid_after_exclusion", "n_months_after", "billed_after_exclusion", "excluded_after_billing")
-    met = peers.implausible(frame, cfg).select("npi", "net_paid", "gross_paid", "provider_on_leie", "has_probable_excluded_owner", "rule_implausible_lines_per_patient", "rule_implausible_paid_per_line").join(v3, "npi").join(billed, "npi", "left")
+    met = peers.implausible(frame, cfg).select("npi", "net_paid", "gross_paid", "provider_on_leie", "has_probable_excluded_owner", "lines_per_patient_instance", "paid_per_claim_line", "rule_implausible_lines_per_patient", "rule_implausible_paid_per_line").join(v3, "npi").join(billed, "npi", "left")
     owner = F.coalesce(F.col("has_probable_excluded_owner") > 0, F.lit(False))
     rate = F.col("rule_implausible_lines_per_patient") | F.col("rule_implausible_paid_per_line")
     tier = peers.priority_tier(F.col("billed_after_exclusion"), rate, F.col("excluded_after_billing"), F.col("anomaly_lead"), owner)
-    leads = met.withColumns({"probable_owner": owner, "priority_tier": tier, "billed_after_exclusion": F.coalesce("billed_after_exclusion", F.lit(False))}).withColumn("priority_rank", F.substring("priority_tier", 1, 1).cast("int"))
+    leads = met.withColumns({"probable_owner": owner, "priority_tier": tier, "billed_after_exclusion": F.coalesce("billed_after_exclusion", F.lit(False))}).withColumn("priority_rank", F.substring("priority_tier", 1, 1).cast("int")).withColumn("rule_reasons", peers.rule_reasons())
     leads = store.put("fraud_leads_v3", leads)
-    write_csv(leads.where("priority_rank <= 5").select("npi", "priority_tier", "anomaly_score", "n_concept_signals", "contributing_concepts", "paid_after_exclusion"), f"{store.path}/fraud_leads.csv")
+    write_csv(leads.where("priority_rank <= 5").select("npi", "priority_tier", "anomaly_score", "n_concept_signals", "contributing_concepts", "paid_after_exclusion", "rule_reasons"), f"{store.path}/fraud_leads.csv")
 
 
 def roll_up(store: Store, cfg: Config = DEFAULT) -> None:

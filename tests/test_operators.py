@@ -121,3 +121,16 @@ def test_stream_totals(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert {(r["event_type"], r["n"], r["total"]) for r in spark.table("totals").collect()} == {("a", 2, 3.0), ("b", 1, 3.0)}
+
+
+def test_descriptions_summaries_and_reasons(spark):
+    from claimscope.operators import yearly
+
+    frame = spark.createDataFrame([(1, 5.0, 1.0), (2, 1.0, 1.0), (3, 2.0, 9.0)], "id int, a double, b double")
+    scored = spark.createDataFrame([(1, 0.9, [0.7, 0.3])], "id int, iforest_score double, importance array<double>")
+    assert ml.describe(scored, frame, "id", ["a", "b"]).first()["description"] == "a high (70%); b typical (30%)"
+    years = spark.createDataFrame([("x", 2001, 0.2, False), ("x", 2002, 0.8, True), ("x", 2003, 0.8, True)], "npi string, year int, score double, is_anomaly boolean")
+    assert tuple(yearly.provider_summary(years).first())[1:] == (0.8, 2002, pytest.approx(0.6), 3, 2)
+    rules = spark.createDataFrame([(True, False, 1234.4, 2, True, False, 120.0, 1.0), (None, None, None, None, False, False, 1.0, 1.0)], "billed_after_exclusion boolean, excluded_after_billing boolean, paid_after_exclusion double, n_months_after int, rule_implausible_lines_per_patient boolean, rule_implausible_paid_per_line boolean, lines_per_patient_instance double, paid_per_claim_line double")
+    got = [r["r"] for r in rules.select(peers.rule_reasons().alias("r")).collect()]
+    assert got == [["billed_after_exclusion(paid_after=$1,234,months=2)", "implausible_lines_per_patient(=120.0)"], []]
