@@ -25,13 +25,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimscope.llm.common import attach, tune
+from claimscope.llm.common import tune
 
 DIMS, CENTROIDS, SAMPLE, REJECT, SEED = 4096, 4, 400, 0.25, 4
 MODULUS, HELD_OUT = 5, 0
 #: Bytes of text that are turned into counts at once.
 CHUNK = 2 << 20
-MODEL_BYTES = 256 << 20
+MOST_LANGUAGES = (256 << 20) // (4 * DIMS * CENTROIDS)
 UNKNOWN = "und"
 
 _KEEP = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
@@ -130,8 +130,12 @@ def learn(df: DataFrame, training: Column, text: str = "text", lang: str = "lang
     df_, n = _document_frequencies(rows.select("raw"))
     idf = (np.log((n + 1) / (df_ + 1)) + 1).astype(np.float32)
     drawn = rows.where("raw is not null").withColumn("draw", F.xxhash64("raw", F.lit(SEED)))
-    share = drawn.groupBy("lang").agg((F.lit(4.0 * SAMPLE) / F.count(F.lit(1))).alias("share"))
-    few = attach(drawn, share, ["lang"]).where(F.expr("shiftrightunsigned(draw, 11) / 9007199254740992D < share"))
+    # one row a language, at most as many as the model may have centroids
+    langs = drawn.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(langs) > MOST_LANGUAGES:
+        raise ValueError("too many languages for one model")
+    share = F.create_map(*[x for r in langs for x in (F.lit(r["lang"]), F.lit(4.0 * SAMPLE / r["n"]))]) if langs else F.create_map().cast("map<string,double>")
+    few = drawn.where(F.shiftrightunsigned("draw", 11) / F.lit(9007199254740992.0) < F.try_element_at(share, F.col("lang")))
     sample = few.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("draw"))).where(F.col("nth") <= SAMPLE)
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
@@ -144,11 +148,7 @@ def learn(df: DataFrame, training: Column, text: str = "text", lang: str = "lang
         return pd.DataFrame({"lang": group["lang"].iloc[0], "bound": bound, "centroid": [v.astype(np.float32).tobytes() for v in c]})
 
     fitted = sample.groupBy("lang").applyInPandas(fit, "lang string, bound double, centroid binary")
-    rows_ = []
-    for r in fitted.toLocalIterator():
-        rows_.append(r)
-        if len(rows_) * DIMS * 4 > MODEL_BYTES:
-            raise ValueError("too many languages for one model")
+    rows_ = fitted.collect()  # at most CENTROIDS rows a language
     rows_.sort(key=lambda r: (r["lang"], r["centroid"]))
     return {"idf": idf, "langs": [r["lang"] for r in rows_], "bounds": np.array([r["bound"] for r in rows_]), "centroids": np.array([np.frombuffer(r["centroid"], np.float32) for r in rows_]).reshape(-1, DIMS)}
 
