@@ -4,8 +4,11 @@ One expression finds all candidates in a text; each is validated by its kind and
 permuted within its own format by a Feistel network under a secret key:
 
 * payment card numbers (13 to 19 digits, blanks or hyphens between them allowed, Luhn-valid): all
-  digits but the last are permuted as a decimal number, the last one is the new check digit;
-* telephone numbers (``+`` and 8 to 15 digits): the digits after the first are permuted;
+  digits but the last are permuted as a decimal number, the last one is the new check digit. A run
+  of digit groups is searched from left to right for the longest such number that starts and ends
+  at groups, those in the usual groups first, so a year or a count beside a number doesn't hide it;
+* telephone numbers (``+`` and 8 to 15 digits, 11 after ``+1``): the digits after the first are
+  permuted. From the eighth digit on, one ends where another candidate begins;
 * US social security numbers (valid areas): all nine digits are permuted;
 * IPv4 addresses (each part at most 255): the 32 bits are permuted;
 * dates (1900-01-01 to 2099-11-13, day, month and year with ``-``, ``/`` or ``.``; ISO or
@@ -32,15 +35,25 @@ FIRST_DAY, DAYS_A, DAYS_B = "1900-01-01", 250, 292
 #: Candidates, the more specific first; fixed values. Each is bounded by what can't belong to it.
 PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9][A-Za-z0-9-]{0,62}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}",
-    "secret": r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,128}(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z+])\+[0-9](?:[ .()-]{0,2}[0-9]){7,14}(?![0-9])",
+    "secret": r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])",
     "ipv4": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "iso_date": r"(?<![0-9-])(?:19|20)[0-9]{2}[-/.][0-9]{2}[-/.][0-9]{2}(?![0-9-])",
     "date": r"(?<![0-9./-])[0-9]{2}[-/.][0-9]{2}[-/.](?:19|20)[0-9]{2}(?![0-9-])",
-    "card": r"(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
+    # a run of digit groups; its end isn't taken from an address or a date
+    "card": r"(?<![0-9A-Za-z.-])(?=(?:[0-9][ -]?){12}[0-9])[0-9][0-9 -]*[0-9](?![0-9A-Za-z])(?!(?<=[ -][0-9]{1,3})[./][0-9])(?!(?<=[ -](?:19|20)[0-9]{2})[./][0-9]{2}[./][0-9]{2})",
 }
+_IN_RUN = "|".join(PATTERNS[k] for k in ("ssn", "iso_date", "date"))
+_NEXT = "|".join([PATTERNS["ipv4"], _IN_RUN, r"[0-9](?:[ -]?[0-9]){12}"])
+_PHONE = rf"(?<![0-9A-Za-z+])\+(?:1(?:[ .()-]{{0,2}}[0-9]){{10}}|[0-9](?:[ .()-]{{0,2}}[0-9]){{7}}(?:(?![ (]{{1,2}}(?:{_NEXT}))[ .()-]{{0,2}}[0-9]){{0,7}})(?![0-9])"
+PATTERNS = {k: p for kind in PATTERNS for k, p in ([("phone", _PHONE)] if kind == "ipv4" else []) + [(kind, PATTERNS[kind])]}
+#: How cards are printed.
+USUAL = "^([0-9]{13,19}|[0-9]{4}([ -][0-9]{4}){2}[ -][0-9]{1,4}([ -][0-9]{1,3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})$"
+#: The pieces of a run of digit groups.
+PIECES = rf"{_IN_RUN}|[0-9]+|[ -]"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: Whole candidates of these kinds.
+SHAPES = {"ssn": "^[0-9]{3}-[0-9]{2}-[0-9]{4}$", "iso_date": "^[0-9]{4}[-/.][0-9]{2}[-/.][0-9]{2}$", "date": "^[0-9]{2}[-/.][0-9]{2}[-/.][0-9]{4}$"}
 #: A text without these has no candidate; a class of single characters is found fast.
 HINT = r"[0-9@]|[A-Fa-f]{32}"
 
@@ -86,9 +99,10 @@ def _refill(mask: str, digits: str) -> str:
 
 def _classed(value: str, key: str, kind: str) -> str:
     """Letters and digits replaced within their class by a keyed hash of the lowered whole."""
-    stream = f"concat(sha2(concat('{key}|{kind}|0|', lower({value})), 512), sha2(concat('{key}|{kind}|1|', lower({value})), 512))"
+    # 64 draws a block; from the third block on of the value's hash, so the work is linear in its length
+    stream = f"transform(array(sha2(lower({value}), 512)), h -> transform(sequence(0, length({value}) div 64), k -> sha2(concat('{key}|{kind}|', cast(k as string), '|', if(k < 2, lower({value}), h)), 512)))[0]"
     letters = {"[0-9]": ("0123456789", 10), "[a-f]": ("abcdef", 6), "[A-F]": ("ABCDEF", 6)} if kind == "secret" else {"[0-9]": ("0123456789", 10), "[a-z]": ("abcdefghijklmnopqrstuvwxyz", 26), "[A-Z]": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 26)}
-    draw = "cast(conv(substring(z.s, 1 + pmod(2 * i, 254), 2), 16, 10) as int)"
+    draw = "cast(conv(substring(z.s[cast(i div 64 as int)], 1 + 2 * (i % 64), 2), 16, 10) as int)"
     case = " ".join(f"when c rlike '{p}' then substring('{chars}', 1 + ({draw}) % {n}, 1)" for p, (chars, n) in letters.items())
     return f"transform(array(struct({stream} as s)), z -> concat_ws('', transform(split({value}, ''), (c, i) -> case {case} else c end)))[0]"
 
@@ -97,10 +111,36 @@ def _bind(name: str, value: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
+def _run(m: str, key: str, pseudonyms: dict[str, str]) -> str:
+    """SQL for struct(s, n) of a run of digit groups: cards, and what is in ``pseudonyms`` (kind -> SQL of ``t``), replaced."""
+    digits = "regexp_replace(c, '[^0-9]', '')"
+    # a number starts and ends with a digit group; single separators; nothing of another kind within
+    shape = "c rlike '^[0-9]+([ -][0-9]+)*$' and forall(slice(ts, i, k), t -> t rlike '^([0-9]+|[ -])$')"
+    valid = _bind("c", "array_join(slice(ts, i, k), '')", f"if({shape}, " + _bind("d", digits, f"length(d) between 13 and 19 and d <> repeat('0', length(d)) and {_luhn('d')} % 10 = 0") + ", false)")
+    card = _bind("d", digits, _bind("q", _decimal("substring(d, 1, length(d) - 1)", key, "card"), _refill("c", f"concat(q, cast((10 - {_luhn("concat(q, '0')")} % 10) % 10 as string))")))
+    other = "case " + " ".join(f"when t rlike '{shape_}' then {pseudonyms[kind]}" for kind, shape_ in SHAPES.items()) + " else t end"
+    # 19 digits have at most 18 separators between them; the longest first
+    longest = "if(ts[i - 1] rlike '^[0-9]+$', try_element_at(filter(transform(sequence(0, 18), j -> 37 - 2 * j), k -> k <= size(ts) - i + 1 and {}), 1), null)"
+    usual = longest.format(f"array_join(slice(ts, i, k), '') rlike '{USUAL}' and {valid}")
+    # a chance number of other groups doesn't take a part of a number in the usual ones
+    found = f"coalesce(us[i - 1], {longest.format(f'not exists(slice(us, i + 1, k - 1), u -> u is not null) and {valid}')})"
+    one = _bind("t", "ts[i - 1]", _bind("p", other, "struct(concat(s.s, p) as s, s.n + if(p <> t, 1, 0) as n, i + 1 as at)"))
+    taken = _bind("c", "array_join(slice(ts, i, k), '')", _bind("p", card, "struct(concat(s.s, p) as s, s.n + if(p <> c, 1, 0) as n, i + k as at)"))
+    step = f"if(i < s.at, s, {_bind('k', found, f'if(k is null, {one}, {taken})')})"
+    walk = f"aggregate(sequence(1, size(ts)), struct('' as s, 0 as n, 1 as at), (s, i) -> {step})"
+    return _bind("ts", f"regexp_extract_all({m}, {_literal(PIECES)}, 0)", _bind("us", f"transform(sequence(1, size(ts)), i -> {usual})", _bind("w", walk, "struct(w.s as s, w.n as n)")))
+
+
 def pseudonym(m: str, key: str = KEY) -> str:
-    """SQL for the pseudonym of a candidate ``m`` (SQL), or ``m`` itself where it isn't valid."""
+    """SQL for struct(s, n): a candidate ``m`` (SQL) with what is valid in it replaced, and how many that are."""
+    local_ = {kind: _single("t", key)[kind] for kind in SHAPES}
+    one = _bind("p", _whole(m, key), f"struct(p as s, if(p <> {m}, 1, 0) as n)")
+    return f"if({m} rlike '^[0-9][0-9 -]+$' and not {m} rlike '{'|'.join(['^[0-9]{32,}$', *SHAPES.values()])}', {_run(m, key, local_)}, {one})"
+
+
+def _single(m: str, key: str) -> dict[str, str]:
+    """kind -> SQL for the pseudonym of a candidate of that kind, or ``m`` itself where it isn't valid."""
     only = f"regexp_replace({m}, '[^0-9]', '')"
-    card = _bind("d", only, f"if({_luhn('d')} % 10 = 0 and d <> repeat('0', length(d)), " + _bind("q", _decimal("substring(d, 1, length(d) - 1)", key, "card"), _refill(m, f"concat(q, cast((10 - {_luhn("concat(q, '0')")} % 10) % 10 as string))")) + f", {m})")
     phone = _bind("d", only, _refill(m, f"concat(substring(d, 1, 1), {_decimal('substring(d, 2)', key, 'phone')})"))
     ssn = f"if({m} rlike '^(?!000|666|9)[0-9]{{3}}-(?!00)[0-9]{{2}}-(?!0000)', {_bind('d', only, _refill(m, _decimal('d', key, 'ssn')))}, {m})"
     parts = f"transform(split({m}, '[.]'), p -> cast(p as bigint))"
@@ -116,12 +156,14 @@ def pseudonym(m: str, key: str = KEY) -> str:
     iso = date(f"concat_ws('-', substring({m}, 1, 4), substring({m}, 6, 2), substring({m}, 9, 2))", "yyyy-MM-dd")
     local = date(f"concat_ws('-', substring({m}, 7, 4), substring({m}, 4, 2), substring({m}, 1, 2))", "dd-MM-yyyy")
     mail = f"concat({_classed(f'regexp_replace({m}, {chr(39)}[.][A-Za-z]+$' + chr(39) + f', {chr(39) * 2})', key, 'email')}, '.invalid')"
-    whole = {"secret": _classed(m, key, "secret"), "phone": phone, "ipv4": ip, "ssn": ssn, "iso_date": iso, "date": local, "card": card}
+    return {"email": mail, "secret": _classed(m, key, "secret"), "phone": phone, "ipv4": ip, "ssn": ssn, "iso_date": iso, "date": local}
+
+
+def _whole(m: str, key: str) -> str:
     # candidates come without their surroundings, so kinds are told by their own characters
-    return f"""case when instr({m}, '@') > 0 then {mail} when {m} rlike '^[0-9A-Fa-f]{{32,}}$' then {whole['secret']} when {m} rlike '^[+]' then {whole['phone']}
-        when {m} rlike '^([0-9]{{1,3}}[.]){{3}}[0-9]{{1,3}}$' then {whole['ipv4']} when {m} rlike '^[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}$' then {whole['ssn']}
-        when {m} rlike '^[0-9]{{4}}[-/.][0-9]{{2}}[-/.][0-9]{{2}}$' then {whole['iso_date']} when {m} rlike '^[0-9]{{2}}[-/.][0-9]{{2}}[-/.][0-9]{{4}}$' then {whole['date']}
-        else {whole['card']} end"""
+    made = _single(m, key)
+    return f"""case when instr({m}, '@') > 0 then {made['email']} when {m} rlike '^[0-9A-Fa-f]{{32,}}$' then {made['secret']} when {m} rlike '^[+]' then {made['phone']}
+        when {m} rlike '^([0-9]{{1,3}}[.]){{3}}[0-9]{{1,3}}$' then {made['ipv4']} {' '.join(f"when {m} rlike '{shape}' then {made[kind]}" for kind, shape in SHAPES.items())} else {m} end"""
 
 
 def _literal(pattern: str) -> str:
@@ -133,9 +175,9 @@ def pseudonymise(df: DataFrame, text: str = "text", key: str = KEY, count: str |
     pattern = _literal(ANY)
     found = F.when(F.col(text).rlike(HINT), F.expr(f"regexp_extract_all(`{text}`, {pattern}, 0)")).otherwise(F.when(F.col(text).isNotNull(), F.array().cast("array<string>")))
     made = df.withColumn("__found", found).withColumn("__new", F.expr(f"transform(__found, m -> {pseudonym('m', key)})"))
-    changed = made.withColumn("__n", F.expr("size(filter(zip_with(__found, __new, (a, b) -> a <> b), c -> c))"))
-    joined = F.expr(f"concat_ws('', zip_with(split(`{text}`, {pattern}, -1), __new, (a, b) -> concat(a, coalesce(b, ''))))")
+    changed = made.withColumn("__n", F.expr("aggregate(__new, 0, (n, b) -> n + b.n)"))
+    joined = F.expr(f"concat_ws('', zip_with(split(`{text}`, {pattern}, -1), __new, (a, b) -> concat(a, coalesce(b.s, ''))))")
     out = changed.withColumn(text, F.when(F.col("__n") > 0, joined).otherwise(F.col(text)))
     if count:
-        out = out.withColumn(count, F.greatest(F.col("__n"), F.lit(0)).cast("long"))
+        out = out.withColumn(count, F.coalesce("__n", F.lit(0)).cast("long"))
     return out.drop("__found", "__new", "__n")
