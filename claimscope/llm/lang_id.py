@@ -3,7 +3,8 @@
 A text is the TF-IDF vector of its byte trigrams (lower case, words only), hashed into ``DIMS``
 dimensions, with sublinear counts, scaled to length 1. Document frequencies cover all labelled
 training rows. Each language has several centroids: spherical k-means over at most
-``SAMPLE`` training texts of the language, chosen by a seeded hash. A text gets the language of
+``SAMPLE`` distinct training texts of the language, those of the least seeded hashes; copies of a
+text count once, so they neither fill the sample nor empty it. A text gets the language of
 the centroid of largest cosine; it is rejected if that cosine is less than ``REJECT`` times the
 least cosine of the language's sample, so only texts farther than any known one go.
 
@@ -130,13 +131,15 @@ def learn(df: DataFrame, training: Column, text: str = "text", lang: str = "lang
     df_, n = _document_frequencies(rows.select("raw"))
     idf = (np.log((n + 1) / (df_ + 1)) + 1).astype(np.float32)
     drawn = rows.where("raw is not null").withColumn("draw", F.xxhash64("raw", F.lit(SEED)))
+    # hashes are drawn at a rate for four times the sample among distinct texts: never too few;
     # one row a language, at most as many as the model may have centroids
-    langs = drawn.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    langs = drawn.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n")).limit(MOST_LANGUAGES + 1).collect()
     if len(langs) > MOST_LANGUAGES:
         raise ValueError("too many languages for one model")
     share = F.create_map(*[x for r in langs for x in (F.lit(r["lang"]), F.lit(4.0 * SAMPLE / r["n"]))]) if langs else F.create_map().cast("map<string,double>")
     few = drawn.where(F.shiftrightunsigned("draw", 11) / F.lit(9007199254740992.0) < F.try_element_at(share, F.col("lang")))
-    sample = few.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("draw"))).where(F.col("nth") <= SAMPLE)
+    texts = few.groupBy("lang", "draw").agg(F.min("raw").alias("raw"))
+    sample = texts.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("draw"))).where(F.col("nth") <= SAMPLE)
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         cleaned = [c for c in map(clean, group["raw"]) if c]
