@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimscope.llm.common import materialize, tune
+from claimscope.llm.common import WORD, materialize, tune
 from claimscope.llm.components import components
 
 WIDTH, PERCENT = 5, 80
@@ -125,7 +125,7 @@ def _sketched(width: int):
             for i, row in zip(full, keys):
                 sig[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
                 key[i] = row
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sig, pa.binary()), pa.array(key, pa.list_(pa.int64()))], names=["key", "n_shingles", "sig", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sig, pa.binary()), pa.array(key, pa.list_(pa.int64())), batch.column(2)], names=["key", "n_shingles", "sig", "bands", "tid"])
 
     return run
 
@@ -174,7 +174,7 @@ def _verified(width: int, percent: int):
                     found += forest(group)
                     at, group = k, []
                 s = shingles(raw, width)
-                # a key may repeat with other texts: only the text of the node counts, once
+                # a row may repeat: the text of the node counts once
                 if all(sig != other for other, _ in group) and hashlib.blake2b(s.tobytes(), digest_size=16).digest() == sig:
                     group.append((sig, s))
             yield edges(found)
@@ -186,26 +186,32 @@ def _verified(width: int, percent: int):
     return run
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``key``, n_shingles, component_id (least key of the component) and kept (key is component_id) of each row."""
+def _rows_and_roots(df: DataFrame, key: str, text: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """key, tid (a hash of the text), n_shingles and sig of each row; and sig, key, tid and root of those with shingles."""
     tune(df.sparkSession)
-    docs = df.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("raw"))
-    fields = [docs.schema["key"], T.StructField("n_shingles", T.LongType()), T.StructField("sig", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))]
+    docs = df.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("raw")).withColumn("tid", F.xxhash64("raw"))
+    fields = [docs.schema["key"], T.StructField("n_shingles", T.LongType()), T.StructField("sig", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("tid", T.LongType())]
     rows = materialize(docs.mapInArrow(_sketched(width), T.StructType(fields)), "sketches")
     whole = rows.where("sig is not null")
     # a 64-bit name of a node: two nodes of one name would only be candidates of each other
-    nodes = materialize(whole.groupBy("sig").agg(F.min("key").alias("key"), F.max("n_shingles").alias("n"), F.any_value("bands").alias("bands")).withColumn("nid", F.xxhash64("sig")), "nodes")
+    nodes = materialize(whole.groupBy("sig").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "tid")).alias("row"), F.max("n_shingles").alias("n"), F.any_value("bands").alias("bands")).withColumn("nid", F.xxhash64("sig")), "nodes")
     keyed = nodes.select("nid", F.explode("bands").alias("band"))
     hubs = keyed.groupBy("band").agg(F.min("nid").alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
     group = components(keyed.join(hubs, "band").select(F.col("nid").alias("u"), F.col("hub").alias("v")))
     named = nodes.drop("bands").join(group.select(F.col("node").alias("nid"), "root").unionByName(group.select(F.col("root").alias("nid"), "root").distinct()), "nid")
     sizes = named.groupBy("root").agg(F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(BLOCK_NODES), F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("int").alias("blocks"))
     dealt = named.join(sizes, "root").withColumn("b", F.pmod(F.xxhash64("nid", F.lit(1)), "blocks").cast("int"))
-    pairs = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("root", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "sig", F.col("key").alias("node_key"))
-    texts = pairs.join(docs, F.col("node_key").eqNullSafe(F.col("key"))).select("root", "i", "j", "sig", "raw")
+    pairs = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("root", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "sig", F.col("row.key").alias("node_key"), F.col("row.tid").alias("node_tid"))
+    texts = pairs.join(docs, F.col("node_key").eqNullSafe(F.col("key")) & (F.col("node_tid") == F.col("tid"))).select("root", "i", "j", "sig", "raw")
     links = texts.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(_verified(width, percent), "u binary, v binary")
     final = components(links)
-    least = whole.select("sig", "key").join(final.select(F.col("node").alias("sig"), "root"), "sig", "left").select("sig", F.coalesce("root", "sig").alias("root"), "key")
+    least = whole.select("sig", "key", "tid").join(final.select(F.col("node").alias("sig"), "root"), "sig", "left").select("sig", F.coalesce("root", "sig").alias("root"), "key", "tid")
+    return rows.select("key", "tid", "n_shingles", "sig"), least
+
+
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``key``, n_shingles, component_id (least key of the component) and kept (key is component_id) of each row."""
+    rows, least = _rows_and_roots(df, key, text, width, percent)
     smallest = least.groupBy("root").agg(F.min("key").alias("component_id"))
     member = least.select("sig", "root").distinct().join(smallest, "root").select("sig", "component_id")
     out = rows.join(member, "sig", "left").withColumn("component_id", F.coalesce("component_id", "key"))
@@ -213,10 +219,23 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``df`` without near-duplicates: one row of each component, columns unchanged."""
-    same = {"__no_key": F.col(key).isNull(), "__key": F.coalesce(F.col(key).cast("string"), F.lit(""))}
-    found = near_duplicates(df, key, text, width, percent).where("kept").select(*[c.alias(k) for k, c in same.items()]).distinct()
+    """The rows of ``df`` without near-duplicates: one row of each component, columns unchanged.
+
+    It is the row of the least key (nulls last). Texts without words are components of their own: one
+    row of each such text and key is kept, and all without a key.
+    """
+    bare = F.col(key).isNull() & ~F.coalesce(F.col(text).rlike(WORD), F.lit(False))
+    docs = df.where(~bare)
+    rows, least = _rows_and_roots(docs, key, text, width, percent)
+    first = least.groupBy("root").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "tid")).alias("row")).select("row.key", "row.tid")
+    chosen = first.unionByName(rows.where("sig is null").select("key", "tid").distinct())
+
+    def same(key: str) -> dict:
+        return {"__no_key": F.col(key).isNull(), "__key": F.coalesce(F.col(key).cast("string"), F.lit(""))}
+
+    found = chosen.select(*[c.alias(k) for k, c in same("key").items()], F.col("tid").alias("__tid"))
     # the join and the window deal the texts out by the same columns, so they are shuffled once
-    met = df.withColumns(same).join(found, list(same), "left_semi")
-    one = Window.partitionBy(*same).orderBy(F.col(text).desc_nulls_last())
-    return met.withColumn("__nth", F.row_number().over(one)).where("__nth = 1").select(*df.columns)
+    on = [*same(key), "__tid"]
+    met = docs.withColumns({**same(key), "__tid": F.xxhash64(F.col(text).cast("binary"))}).join(found, on, "left_semi")
+    one = Window.partitionBy(*on).orderBy(F.col(text).desc_nulls_last())
+    return met.withColumn("__nth", F.row_number().over(one)).where("__nth = 1").select(*df.columns).unionByName(df.where(bare))
