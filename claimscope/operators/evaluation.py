@@ -99,21 +99,26 @@ def rank_reliable(providers: DataFrame, score: str = "score", tie: str = "npi")
 def null_tests(deciled: DataFrame, score: str, hit: str = "hit", draws: int = 1000, cfg: Config = DEFAULT) -> DataFrame:
     """Permutation p of the hits' summed score, and a bootstrap interval of the top-decile lift.
 
-    The permuted sum of h hits among n rows is drawn from its normal limit (exact mean and
-    variance of sampling without replacement); the bootstrap depends on four counts alone. So both
-    need one row of sums, whatever n is.
+    A permutation puts the h hits on h of the n rows, so a permuted sum is that of h rows drawn
+    without replacement (or of all less n - h ones) from the counts by distinct score, which are
+    brought to the driver; rows are companies. The bootstrap depends on four counts alone.
     """
     x = F.coalesce(F.col(score), F.lit(0.0))
     top = F.col("score_decile") == 10
-    r = deciled.agg(F.count(F.lit(1)).alias("n"), F.sum(hit).alias("h"), F.avg(x).alias("m"), F.var_pop(x).alias("v"), F.sum(F.when(F.col(hit) == 1, x)).alias("s"), F.count_if(top).alias("t"), F.sum(F.when(top, F.col(hit))).alias("th")).first()
+    r = deciled.agg(F.count(F.lit(1)).alias("n"), F.sum(hit).alias("h"), F.sum(F.when(F.col(hit) == 1, x)).alias("s"), F.count_if(top).alias("t"), F.sum(F.when(top, F.col(hit))).alias("th")).first()
     rng = np.random.default_rng(cfg.seed)
     n, h = r["n"] or 0, r["h"] or 0
     spark = deciled.sparkSession
     schema = "n long, hits long, permutation_p double, lift double, lift_low double, lift_high double"
     if n < 2 or not h or not r["t"]:
         return spark.createDataFrame([(n, h, None, None, None, None)], schema)
-    sd = np.sqrt(h * r["v"] * (n - h) / (n - 1))
-    beyond = int((rng.normal(h * r["m"], sd, draws) >= r["s"]).sum())
+    by_score = deciled.groupBy(x.cast("double").alias("x")).agg(F.count(F.lit(1)).alias("c")).toPandas().sort_values("x")
+    scores, ends = by_score["x"].to_numpy(), np.cumsum(by_score["c"].to_numpy())
+    few = min(h, n - h)
+    drawn = np.array([scores[np.searchsorted(ends, rng.choice(n, few, replace=False, shuffle=False), side="right")].sum() for _ in range(draws)])
+    sums = drawn if few == h else float(scores @ by_score["c"].to_numpy()) - drawn
+    # sums of the same scores in another order are equal
+    beyond = int((sums >= r["s"] - 1e-9 * max(1.0, abs(r["s"]))).sum())
     t, th = r["t"], r["th"] or 0
     cells = rng.multinomial(n, np.array([th, t - th, h - th, n - t - h + th]) / n, draws)
     tops, hits = cells[:, 0] + cells[:, 1], cells[:, 0] + cells[:, 2]
