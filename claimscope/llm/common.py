@@ -9,8 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Rows in one Arrow batch; a batch of very long texts stays within a worker's memory.
-BATCH_ROWS = 512
+#: Rows and bytes in one Arrow batch; a batch of very long texts stays within a worker's memory.
+BATCH_ROWS, BATCH_BYTES = 512, 16 << 20
 
 #: The word definition of the contracts, for Java's and DuckDB's regex engines.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,6 +21,7 @@ _fallback: dict[str, str] = {}
 def tune(spark: SparkSession) -> None:
     """Session settings that the Arrow operators need."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:

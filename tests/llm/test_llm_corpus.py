@@ -113,39 +113,6 @@ def test_language_id(spark):
     assert {r["lang_pred"] for r in lang_id.predict(df, empty).collect()} == {"und"}
 
 
-def test_language_model(spark):
-    rng = random.Random(2)
-    texts = [words(rng, rng.randrange(1, 80)) for _ in range(60)] + [None, "", "The the THE", "z" * 9000]
-    df = spark.createDataFrame([*enumerate(texts), (3, texts[3])], DOCS).withColumn("n_tokens", F.lit("clash"))
-    learned = lm_mixing.learn(df.where("doc_id % 7 <> 2"))
-    got = lm_mixing.score(df, learned).collect()
-    assert len(got) == len(texts) + 1
-    c = Counter()
-    for i, t in [*enumerate(texts), (3, texts[3])]:
-        if i % 7 != 2:
-            c.update([*(t or "").lower().split(), ""])
-    n, v = sum(c.values()), len(c)
-    for r in got:
-        tokens = [*(texts[r["doc_id"]] or "").lower().split(), ""]
-        assert r["n_tokens"] == len(tokens) and r["n_known"] == sum(c[w] > 0 for w in tokens) and r["train_tokens"] == n
-        assert r["base_score"] == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in tokens))
-        assert r["score"] < 0
-    held = [r for r in got if r["doc_id"] % 7 == 2 and r["doc_id"] < 60]
-    assert np.mean([r["bits_per_byte"] for r in held]) < 4
-    # bit predictions make a distribution: the first bytes' probabilities sum to one
-    model = lm_mixing.frozen(learned["model"])
-    first = sum(np.prod(lm_mixing.bit_probabilities([bytes([b])], model)[0]) for b in range(256))
-    assert first == pytest.approx(1)
-
-
-def test_language_model_rare_words_and_empty(spark, monkeypatch):
-    monkeypatch.setattr(lm_mixing, "HEAVY", 3)
-    df = spark.createDataFrame([(1, "a a a b c"), (2, "b q"), (2, "b q")], DOCS)
-    got = {r["doc_id"]: r for r in lm_mixing.score(df, lm_mixing.learn(df.where("doc_id = 1"))).collect()}
-    assert got[2]["n_known"] == 2 and got[2]["base_score"] == pytest.approx(math.log10(2 / 11) * 2 + math.log10(1 / 11))
-    assert lm_mixing.score(df.limit(0), lm_mixing.learn(df.limit(0))).count() == 0
-
-
 def check_packed(rows, capacity):
     bins = {}
     for r in rows:
