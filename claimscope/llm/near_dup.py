@@ -9,12 +9,18 @@ concentrated than independent MinHashes, in time n + T log T. ``BANDS`` keys ove
 coordinates each propose candidates: at similarity 0.8 a pair is missed with probability
 (1 - 0.8^6)^40, about 5 in a million, and a document of a larger group only if all its links are.
 
-Documents with equal sets are one node. Nodes that share a key are joined into candidate groups
-over the key's least node, so a key of m nodes gives m rows, not m * m. Groups are then verified
-on whole sets: in one task while small, else dealt into blocks, every pair of blocks in a task of
-its own. Each task returns only a forest of its links. So every pair of a candidate group is
-compared, whatever its size, without any task that holds all of it, and linked nodes are joined
-into components.
+Documents with equal sets are one node, whose text is read once more. Nodes that share a key are
+verified on whole sets, as hashes, in two steps, so that no link between different nodes is lost
+though few are compared:
+
+* stars: each node with the least node of each of its keys (its hubs, at most BANDS). What is linked
+  gets one root, so a group of near-copies of any size takes one comparison a node;
+* the rest: only keys that still have nodes of several roots are left. Their nodes are joined into
+  groups; in each, the nodes that aren't of the largest root are compared with all, in blocks, every
+  pair of blocks in a task of its own.
+
+A set is sent once for each of its hubs, and in the second step once for each block of the other side.
+The second step's worst case stays quadratic: a group of many candidates that aren't linked.
 
 Defined results: letters A-Z are lowered; a text with fewer words than a shingle is one shingle;
 null texts and texts without words have no shingles and are linked with nothing; repeated rows
@@ -41,8 +47,8 @@ from claimscope.llm.components import components
 WIDTH, PERCENT = 5, 80
 ROWS, BANDS = 6, 40
 COORDINATES = ROWS * BANDS
-#: Nodes and shingles of one block of a candidate group.
-BLOCK_NODES, BLOCK_SHINGLES = 256, 200_000
+#: Nodes and shingles of one block of a candidate group, and spokes of one part of a star.
+BLOCK_NODES, BLOCK_SHINGLES, STAR = 256, 200_000, 4096
 CACHE_WORDS = 300_000
 
 _U = np.uint64
@@ -130,62 +136,164 @@ def _sketched(width: int):
     return run
 
 
-def linked(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
-    """For each set the least index of its component under all links among ``sets``, compared whole."""
-    m = len(sets)
-    label = np.arange(m)
-    size = np.array([len(s) for s in sets], np.int64)
-    x = np.concatenate(sets)
-    row = np.repeat(np.arange(m), size)
+def _digest(s: np.ndarray) -> bytes:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+
+
+def _sets_of(width: int):
+    """(nid, sig, raw) -> nid, sig and the shingles' hashes, for the texts that are the node's; neighbouring repeats once."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            out = []
+            for nid, sig, raw in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if sig != last and _digest(s := shingles(raw, width)) == sig:
+                    out.append((nid, sig, s.tobytes()))
+                    last = sig
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], names=["nid", "sig", "hashes"])
+
+    return run
+
+
+def alike(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
+    """Whether two sorted sets are linked, compared whole."""
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    if 100 * len(small) < percent * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def _edges(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.binary()) for i in (0, 1)], names=["u", "v"])
+
+
+def _star(percent: int):
+    """Rows (hub, salt, spoke, sig, hashes) in this order: the links of each hub with its spokes, one spoke at a time."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, hubs = None, {}
+        for batch in batches:
+            found = []
+            for hub, salt, spoke, sig, raw in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if (hub, salt) != at:
+                    at, hubs = (hub, salt), {}
+                s = np.frombuffer(raw, np.uint64)
+                if not spoke:
+                    hubs[sig] = s
+                else:
+                    found += [(sig, other) for other, h in hubs.items() if other != sig and alike(s, h, percent)]
+            yield _edges(found)
+
+    return run
+
+
+def crossed(queries: list[np.ndarray], sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
+    """Which queries are linked with which sets, compared whole: a boolean matrix."""
+    q, m = len(queries), len(sets)
+    size_q, size_m = (np.array([len(s) for s in x], np.int64) for x in (queries, sets))
+    x = np.concatenate([*queries, *sets])
+    row = np.repeat(np.arange(q + m), np.concatenate([size_q, size_m]))
     _, term, times = np.unique(x, return_inverse=True, return_counts=True)
     shared = times[term] > 1  # others are in no intersection
     row, term = row[shared], np.unique(term[shared], return_inverse=True)[1]
-    both = np.zeros((m, m), np.float32)  # counts below 2^24 are exact
-    step = max(256, (1 << 22) // m)
+    both = np.zeros((q, m), np.float32)  # counts below 2^24 are exact
+    step = max(256, (1 << 22) // (q + m))
     order = np.argsort(term, kind="stable")
     row, term = row[order], term[order]
     for a in range(0, int(term[-1]) + 1 if len(term) else 0, step):
         low, high = np.searchsorted(term, [a, a + step])
-        has = np.zeros((m, step), np.float32)
+        has = np.zeros((q + m, step), np.float32)
         has[row[low:high], term[low:high] - a] = 1
-        both += has @ has.T
+        both += has[:q] @ has[q:].T
     inter = both.astype(np.int64)
-    link = 100 * inter >= percent * (size[:, None] + size[None, :] - inter)
-    while True:
-        lower = np.where(link, label[None, :], m).min(1)
-        lower = np.minimum(lower, label)
-        if (lower == label).all():
-            return label
-        label = lower
-
-
-def _verified(width: int, percent: int):
-    def forest(group: list[tuple[bytes, np.ndarray]]) -> list[tuple[bytes, bytes]]:
-        label = linked([s for _, s in group], percent) if len(group) > 1 else np.zeros(len(group), int)
-        return [(group[i][0], group[r][0]) for i, r in enumerate(label.tolist()) if i != r]
+    return 100 * inter >= percent * (size_q[:, None] + size_m[None, :] - inter)
+
+
+def _blocks(percent: int):
+    """Rows (g, i, j, asks, root, sig, hashes) in the order of the first three: links between asking and other nodes of different roots."""
+
+    def links(group: list[tuple]) -> list[tuple[bytes, bytes]]:
+        asking = {sig: (root, s) for asks, root, sig, s in group if asks}
+        others = {sig: (root, s) for asks, root, sig, s in group if not asks}
+        if not asking or not others:
+            return []
+        us, vs = list(asking), list(others)
+        hit = crossed([asking[u][1] for u in us], [others[v][1] for v in vs], percent)
+        joined: set = set()
+        out = []
+        for i, j in np.argwhere(hit).tolist():
+            pair = (asking[us[i]][0], others[vs[j]][0])
+            if pair[0] != pair[1] and pair not in joined:  # one link between two roots is enough
+                joined.add(pair)
+                out.append((us[i], vs[j]))
+        return out
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, group = None, []
         for batch in batches:
             found = []
-            ids = list(zip(*(batch.column(i).to_pylist() for i in range(3))))
-            for k, sig, raw in zip(ids, batch.column(3).to_pylist(), batch.column(4).to_pylist()):
-                if k != at:
-                    found += forest(group)
-                    at, group = k, []
-                s = shingles(raw, width)
-                # a row may repeat: the text of the node counts once
-                if all(sig != other for other, _ in group) and hashlib.blake2b(s.tobytes(), digest_size=16).digest() == sig:
-                    group.append((sig, s))
-            yield edges(found)
-        yield edges(forest(group))
-
-    def edges(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.binary()) for i in (0, 1)], names=["u", "v"])
+            keys = list(zip(*(batch.column(i).to_pylist() for i in range(3))))
+            for key, asks, root, sig, raw in zip(keys, *(batch.column(i).to_pylist() for i in range(3, 7))):
+                if key != at:
+                    found += links(group)
+                    at, group = key, []
+                group.append((asks, root, sig, np.frombuffer(raw, np.uint64)))
+            yield _edges(found)
+        yield _edges(links(group))
 
     return run
 
 
+def _rooted(edges: DataFrame) -> DataFrame:
+    """sig and root of all nodes of ``edges``, the roots too."""
+    found = components(edges)
+    return found.select(F.col("node").alias("sig"), "root").unionByName(found.select(F.col("root").alias("sig"), "root").distinct())
+
+
+def _links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (u, v: sigs) that join the same nodes as all links do."""
+    keyed = nodes.select("nid", F.explode("bands").alias("band"))
+    hubs = keyed.groupBy("band").agg(F.min("nid").alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
+    met = materialize(keyed.join(hubs, "band"), "candidates")
+    spokes = met.where("nid <> hub").select("nid", "hub").distinct()
+    some = nodes.join(met.select("nid").distinct(), "nid", "left_semi").select("nid", "sig", F.col("row.key").alias("node_key"), F.col("row.tid").alias("node_tid"))
+    texts = some.hint("merge").join(docs, F.col("node_key").eqNullSafe(F.col("key")) & (F.col("node_tid") == F.col("tid"))).select("nid", "sig", "raw")
+    sets = materialize(texts.mapInArrow(_sets_of(width), "nid long, sig binary, hashes binary"), "sets")
+
+    # every node with the hubs of its keys; a hub's spokes are dealt over as many tasks as they need
+    salts = spokes.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / F.lit(STAR)).cast("int").alias("salts"))
+    out = spokes.join(salts, "hub").join(sets.hint("merge"), "nid").select("hub", F.pmod(F.xxhash64("nid", F.lit(2)), "salts").cast("int").alias("salt"), F.lit(1).alias("spoke"), "sig", "hashes")
+    mid = salts.join(sets.hint("merge"), F.col("hub") == F.col("nid")).select("hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("spoke"), "sig", "hashes")
+    star = out.unionByName(mid).repartition("hub", "salt").sortWithinPartitions("hub", "salt", "spoke").mapInArrow(_star(percent), "u binary, v binary")
+    first = materialize(_rooted(star), "roots")
+
+    # keys whose nodes are of several roots now: their nodes may have links that no star has
+    label = sets.select("nid", "sig").join(first, "sig", "left").select("nid", "sig", F.coalesce("root", "sig").alias("root"))
+    mixed = met.join(label, "nid").groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band")
+    open_ = met.join(mixed, "band", "left_semi").where("nid <> hub").select(F.col("nid").alias("u"), F.col("hub").alias("v"))
+    group = components(open_)
+    member = group.select(F.col("node").alias("nid"), F.col("root").alias("g")).unionByName(group.select(F.col("root").alias("nid"), F.col("root").alias("g")).distinct()).join(label, "nid").join(nodes.select("sig", "n"), "sig")
+    named = materialize(member, "open")
+    by_root = named.groupBy("g", "root").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("n"))
+    # nodes of a group's largest root are joined already: only the others ask, and they ask all
+    sizes = by_root.groupBy("g").agg(F.max_by("root", F.struct("m", "root")).alias("most"), F.sum("m").alias("m"), F.sum("n").alias("n"), F.max("m").alias("m1")).select("g", "most", _parts("m", "n").alias("nj"), _parts("m - m1", "n").alias("ni"))
+    dealt = named.join(sizes, "g")
+    own = lambda seed, parts: F.pmod(F.xxhash64("nid", F.lit(seed)), parts).cast("int")
+    asking = dealt.where("root <> most").select("g", own(3, "ni").alias("i"), F.explode(F.sequence(F.lit(0), F.col("nj") - 1)).alias("j"), F.lit(True).alias("asks"), "root", "nid", "sig")
+    others = dealt.select("g", F.explode(F.sequence(F.lit(0), F.col("ni") - 1)).alias("i"), own(4, "nj").alias("j"), F.lit(False).alias("asks"), "root", "nid", "sig")
+    rows = asking.unionByName(others).join(sets.select("sig", "hashes").hint("merge"), "sig").select("g", "i", "j", "asks", "root", "sig", "hashes")
+    more = rows.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j").mapInArrow(_blocks(percent), "u binary, v binary")
+    return first.where("sig <> root").select(F.col("sig").alias("u"), F.col("root").alias("v")).unionByName(more)
+
+
+def _parts(nodes: str, shingles_: str):
+    """Blocks for so many nodes and shingles; a block has a node at least."""
+    return F.expr(f"cast(ceil(greatest(({nodes}) / {BLOCK_NODES}D, least({shingles_} / {BLOCK_SHINGLES}D, {nodes}))) as int)")
+
+
 def _rows_and_roots(df: DataFrame, key: str, text: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """key, tid (a hash of the text), n_shingles and sig of each row; and sig, key, tid and root of those with shingles."""
     tune(df.sparkSession)
@@ -195,16 +303,7 @@ def _rows_and_roots(df: DataFrame, key: str, text: str, width: int, percent: int
     whole = rows.where("sig is not null")
     # a 64-bit name of a node: two nodes of one name would only be candidates of each other
     nodes = materialize(whole.groupBy("sig").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "tid")).alias("row"), F.max("n_shingles").alias("n"), F.any_value("bands").alias("bands")).withColumn("nid", F.xxhash64("sig")), "nodes")
-    keyed = nodes.select("nid", F.explode("bands").alias("band"))
-    hubs = keyed.groupBy("band").agg(F.min("nid").alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
-    group = components(keyed.join(hubs, "band").select(F.col("nid").alias("u"), F.col("hub").alias("v")))
-    named = nodes.drop("bands").join(group.select(F.col("node").alias("nid"), "root").unionByName(group.select(F.col("root").alias("nid"), "root").distinct()), "nid")
-    sizes = named.groupBy("root").agg(F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(BLOCK_NODES), F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("int").alias("blocks"))
-    dealt = named.join(sizes, "root").withColumn("b", F.pmod(F.xxhash64("nid", F.lit(1)), "blocks").cast("int"))
-    pairs = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("root", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "sig", F.col("row.key").alias("node_key"), F.col("row.tid").alias("node_tid"))
-    texts = pairs.join(docs, F.col("node_key").eqNullSafe(F.col("key")) & (F.col("node_tid") == F.col("tid"))).select("root", "i", "j", "sig", "raw")
-    links = texts.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(_verified(width, percent), "u binary, v binary")
-    final = components(links)
+    final = components(_links(nodes, docs, width, percent))
     least = whole.select("sig", "key", "tid").join(final.select(F.col("node").alias("sig"), "root"), "sig", "left").select("sig", F.coalesce("root", "sig").alias("root"), "key", "tid")
     return rows.select("key", "tid", "n_shingles", "sig"), least
 
