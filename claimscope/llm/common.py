@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ BATCH_ROWS, BATCH_BYTES = 512, 16 << 20
 #: The word definition of the contracts, for Java's and DuckDB's regex engines.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_fallback: dict[str, str] = {}
+_private: dict[str, str] = {}
 
 
 def tune(spark: SparkSession) -> None:
@@ -25,11 +26,28 @@ def tune(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a private one only where the session names none (tests)."""
+    """The cluster's shared folder. Where the session names none, a private one in local mode; else an error,
+    as executors of a cluster don't see the driver's folders."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
-    return _fallback.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="claimscope-"))
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return _private.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="claimscope-"))
+
+
+_scopes: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch():
+    """Tables that materialize() writes inside are deleted at the end. For callers that have written their result."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for table in _scopes.pop():
+            discard(table)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -37,11 +55,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    if _scopes:
+        _scopes[-1].append(out)
+    return out
 
 
 def discard(df: DataFrame) -> None:
-    """Deletes a table made by materialize() that nothing reads any more."""
+    """Deletes a table made by materialize() that nothing reads any more; again does nothing."""
     for path in df.inputFiles()[:1]:
         folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path).getParent()
         folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
@@ -72,10 +93,10 @@ def ordinals(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str
     before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(*keys, "__slice", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
     if extra is not None:
-        starts = attach(starts, extra, keys)
+        starts = attach(starts, extra.hint("merge"), keys)
     within = Window.partitionBy(*keys, "__slice").orderBy("__draw", *order)
     ranked = dealt.withColumn("__rn", F.row_number().over(within).cast("long") - 1)
-    joined = attach(ranked, starts, [*keys, "__slice"])
+    joined = attach(ranked, starts.hint("merge"), [*keys, "__slice"])  # counts grow with the input: never broadcast
     more = [c for c in (extra.columns if extra is not None else []) if c not in keys]
     return joined.select(*df.columns, (F.col("__rn") + F.col("__start")).alias(name), *more)
 

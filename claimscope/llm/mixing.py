@@ -3,9 +3,9 @@
 A source's target is its share of all words by weight, capped at ``MAX_REPEATS`` times what it
 has; what a cap cuts off goes to the others by weight. A source is taken whole as often as fits,
 and the rest of its target is a subset-sum over its documents. The subset is chosen over counts
-of documents by exact length: each length first gives its proportional part, then the largest
-lengths fill up, and a bounded-knapsack recurrence over what is left meets the last budget
-exactly, or comes as near below it as documents allow. Which documents of a length are taken is
+of documents by exact length: each length first gives its proportional part, then a bounded-knapsack
+recurrence, which takes more of some lengths and gives others back, meets the budget exactly, or
+comes as near below it as any choice of documents can. Which documents of a length are taken is
 decided by their rank in a seeded hash order, so reruns agree.
 
 Only the counts by (source, length) meet in one task, never documents; ranks within one hot
@@ -18,8 +18,10 @@ gives an empty result. Input columns that clash with the result's are replaced.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,8 +29,8 @@ from pyspark.sql import functions as F
 from claimscope.llm.common import attach, materialize, ordinals
 
 WEIGHTS, MAX_REPEATS, SEED = (1, 2, 3), 3, 7
-#: The last budget, in words, that the recurrence fits.
-DP_WORDS = 1 << 14
+#: The first window of the recurrence, in words around the proportional start.
+WINDOW = 1 << 12
 
 
 def word_count(text: str) -> Column:
@@ -57,35 +59,73 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1
 
 
 def fit(lengths: list[int], counts: list[int], budget: int) -> list[int]:
-    """How many of each length to take: at most ``counts``, with a sum as near to ``budget`` as found, from below."""
-    whole = sum(x * n for x, n in zip(lengths, counts))
-    if budget >= whole:
-        return list(counts)
-    taken = [n * budget // whole for n in counts]
-    rest = budget - sum(x * k for x, k in zip(lengths, taken))
-    order = sorted((i for i, x in enumerate(lengths) if x > 0), key=lambda i: -lengths[i])
+    """How many of each length to take: at most ``counts``, with the greatest sum that isn't over ``budget``.
+
+    A proportional start is corrected by the bounded-knapsack recurrence, which may take more of a
+    length or give some back, over the sums within a window of the start. The window grows until
+    the budget is met, or is so wide that no wider one can do better: all there is, or twice the
+    square of the longest length (moves of a best correction can be ordered so that no partial sum
+    repeats, and none is farther from the start than the longest length).
+    """
+    some = [i for i, (x, n) in enumerate(zip(lengths, counts)) if x > 0 and n > 0]
+    taken = list(counts)
+    unit = math.gcd(*(lengths[i] for i in some)) if some else 1
+    sizes, goal = {i: lengths[i] // unit for i in some}, max(0, budget) // unit
+    whole = sum(sizes[i] * counts[i] for i in some)
+    if goal >= whole:
+        return taken
+    for i in some:
+        taken[i] = counts[i] * goal // whole
+    longest = max(sizes.values())
+    limit, window = min(whole, (2 * longest + 1) * longest), max(WINDOW, longest)
+    order = sorted(some, key=lambda i: (-sizes[i], i))
+    miss = goal - sum(sizes[i] * taken[i] for i in some)  # at most one of each length
     for i in order:
-        more = min(counts[i] - taken[i], max(0, rest - DP_WORDS) // lengths[i])
+        more = min(counts[i] - taken[i], miss // sizes[i])
         taken[i] += more
-        rest -= more * lengths[i]
-    reach, limit, steps = 1, (1 << (rest + 1)) - 1, []
-    for i in order:
-        left, part = min(counts[i] - taken[i], rest // lengths[i]), 1
-        while left and not reach >> rest & 1:
-            part = min(part, left)
-            steps.append((i, part, reach))
-            reach |= reach << part * lengths[i] & limit
-            left, part = left - part, part * 2
-        if reach >> rest & 1:
+        miss -= more * sizes[i]
+    while miss:
+        steps, first, best = _corrections(order, sizes, counts, taken, min(window, limit), miss)
+        if best == miss or window >= limit:
+            at = best
+            while at:
+                i, part = steps[first[at + min(window, limit)]]
+                taken[i] += part
+                at -= part * sizes[i]
             break
-    at = reach.bit_length() - 1
-    for i, part, before in reversed(steps):
-        if not before >> at & 1:
-            taken[i] += part
-            at -= part * lengths[i]
+        window *= 8
     return taken
 
 
+def _corrections(order: list[int], sizes: dict[int, int], counts: list[int], taken: list[int], window: int, miss: int) -> tuple[list[tuple[int, int]], np.ndarray, int]:
+    """The steps (length, how many; negative: given back), for each sum from -window to window the step
+    that first reached it, and the greatest sum up to ``miss`` that was reached."""
+    first = np.full(2 * window + 1, -1, np.int32)
+    reach = np.zeros(2 * window + 1, bool)
+    reach[window] = True
+    steps: list[tuple[int, int]] = []
+    for i in order:
+        size = sizes[i]
+        for sign, left in ((1, counts[i] - taken[i]), (-1, taken[i])):
+            left, part = min(left, 2 * window // size), 1
+            while left:
+                part = min(part, left)
+                by = part * size
+                moved = np.zeros_like(reach)
+                if sign > 0:
+                    moved[by:] = reach[:-by]
+                else:
+                    moved[:-by] = reach[by:]
+                moved &= ~reach
+                first[moved] = len(steps)
+                reach |= moved
+                steps.append((i, sign * part))
+                if reach[window + miss]:
+                    return steps, first, miss
+                left, part = left - part, part * 2
+    return steps, first, int(np.flatnonzero(reach[window : window + miss + 1])[-1])
+
+
 def _choose(group: pd.DataFrame) -> pd.DataFrame:
     """Whole repeats of a source, and the documents of each length that are taken once more."""
     source_size, target = int(group["source_size"].iloc[0]), float(group["target"].iloc[0])
