@@ -5,13 +5,14 @@ dimensions, with sublinear counts, scaled to length 1. Document frequencies cove
 training rows. Each language has several centroids: spherical k-means over at most
 ``SAMPLE`` distinct training texts of the language, those of the least seeded hashes; copies of a
 text count once, so they neither fill the sample nor empty it. A text gets the language of
-the centroid of largest cosine; it is rejected if that cosine is less than ``REJECT`` times the
-least cosine of the language's sample, so only texts farther than any known one go.
+the centroid of largest cosine; it is rejected if that cosine is far below those of the sample's
+texts of its size that are nearest to the same centroid (see bounds()).
 
 Defined results: a null text or one without a letter is ``und`` with score 0, and rejected; rows
 with a null language train nothing; without any training row all texts are ``und``; repeated rows
 get equal results; an empty table gives an empty result; columns that clash with the result's are
-replaced. Texts are read whole, very long ones in pieces.
+replaced. Texts are read whole, very long ones in pieces; equal cosines go to the first centroid, by
+language. More than ``MOST_LANGUAGES`` languages raise a ValueError, as the model is broadcast.
 """
 
 from __future__ import annotations
@@ -28,7 +29,9 @@ from pyspark.sql import types as T
 
 from claimscope.llm.common import tune
 
-DIMS, CENTROIDS, SAMPLE, REJECT, SEED = 4096, 4, 400, 0.25, 4
+DIMS, CENTROIDS, SAMPLE, SEED = 4096, 4, 400, 4
+#: Rejection: the share of a quantile of cosines, by classes of text sizes in bytes.
+REJECT, QUANTILE, SHORTEST, CLASSES, FEW = 0.4, 0.02, 32, 8, 20
 MODULUS, HELD_OUT = 5, 0
 #: Bytes of text that are turned into counts at once.
 CHUNK = 2 << 20
@@ -87,24 +90,55 @@ def vectors(texts: list[bytes], idf: np.ndarray) -> np.ndarray:
 
 
 def cluster(x: np.ndarray, k: int = CENTROIDS, rounds: int = 12) -> np.ndarray:
-    """Spherical k-means from farthest starting points."""
-    mean = x.mean(0)
-    centre = [x[int(np.argmax(x @ mean))]]
-    while len(centre) < min(k, len(x)):
-        near = np.max(x @ np.array(centre).T, axis=1)
-        if near.min() > 1 - 1e-9:
-            break
-        centre.append(x[int(np.argmin(near))])
-    c = np.array(centre)
+    """Spherical k-means from k equal parts of the texts, in their order along the widest direction.
+
+    Texts that are far from all others would be centroids of their own if they were starting points.
+    """
+    if len(x) <= k:
+        return np.unique(x, axis=0)
+    flat = x - x.mean(0)
+    along = np.linspace(-1, 1, x.shape[1])
+    for _ in range(10):  # power steps
+        along = flat.T @ (flat @ along)
+        along /= max(np.linalg.norm(along), 1e-12)
+    own = np.empty(len(x), int)
+    own[np.argsort(flat @ along, kind="stable")] = np.arange(len(x)) * k // len(x)
     for _ in range(rounds):
-        own = np.argmax(x @ c.T, axis=1)
-        for j in range(len(c)):
-            if (own == j).any():
-                c[j] = x[own == j].mean(0)
-                c[j] /= max(np.linalg.norm(c[j]), 1e-12)
+        sums = np.array([x[own == j].sum(0) for j in range(k) if (own == j).any()])
+        c = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
+        own, k = np.argmax(x @ c.T, axis=1), len(c)
     return c
 
 
+def size_class(size: np.ndarray) -> np.ndarray:
+    """The class of texts of ``size`` bytes: 0 below SHORTEST, then by doubling."""
+    return np.clip(np.floor(np.log2(np.maximum(size, 1) / SHORTEST)) + 1, 0, CLASSES - 1).astype(int)
+
+
+def bounds(cleaned: list[bytes], idf: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """For each centroid and size class the least cosine that isn't rejected.
+
+    A short text is farther from any centroid than a long one. So the sample's texts are also cut
+    to the sizes of the classes, and a bound is ``REJECT`` times the ``QUANTILE`` of the cosines of those
+    that have the centroid as nearest (of all of the language, where they are few). Texts below
+    SHORTEST bytes aren't rejected.
+    """
+    out = np.zeros((len(centroids), CLASSES))
+    for k in range(1, CLASSES):
+        size = SHORTEST << (k - 1)
+        cut = [t[:size] for t in cleaned if len(t) >= size]
+        if len(cut) < FEW:
+            out[:, k] = out[:, k - 1]
+            continue
+        cosine = vectors(cut, idf) @ centroids.T
+        own, best = cosine.argmax(1), cosine.max(1)
+        for j in range(len(centroids)):
+            some = best[own == j]
+            out[j, k] = REJECT * np.quantile(some if len(some) >= FEW else best, QUANTILE)
+    out[:, 0] = out[:, 1] / 4
+    return out
+
+
 def _document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     """Over all rows; one vector a task, summed in 64 groups before the driver sees them."""
 
@@ -145,15 +179,13 @@ def learn(df: DataFrame, training: Column, text: str = "text", lang: str = "lang
         cleaned = [c for c in map(clean, group["raw"]) if c]
         if not cleaned:
             return pd.DataFrame({"lang": [], "bound": [], "centroid": []})
-        x = vectors(cleaned, idf)
-        c = cluster(x)
-        bound = float(REJECT * (x @ c.T).max(1).min())
-        return pd.DataFrame({"lang": group["lang"].iloc[0], "bound": bound, "centroid": [v.astype(np.float32).tobytes() for v in c]})
+        c = cluster(vectors(cleaned, idf))
+        return pd.DataFrame({"lang": group["lang"].iloc[0], "bound": [b.tobytes() for b in bounds(cleaned, idf, c)], "centroid": [v.astype(np.float32).tobytes() for v in c]})
 
-    fitted = sample.groupBy("lang").applyInPandas(fit, "lang string, bound double, centroid binary")
+    fitted = sample.groupBy("lang").applyInPandas(fit, "lang string, bound binary, centroid binary")
     rows_ = fitted.collect()  # at most CENTROIDS rows a language
     rows_.sort(key=lambda r: (r["lang"], r["centroid"]))
-    return {"idf": idf, "langs": [r["lang"] for r in rows_], "bounds": np.array([r["bound"] for r in rows_]), "centroids": np.array([np.frombuffer(r["centroid"], np.float32) for r in rows_]).reshape(-1, DIMS)}
+    return {"idf": idf, "langs": [r["lang"] for r in rows_], "bounds": np.array([np.frombuffer(r["bound"]) for r in rows_]).reshape(-1, CLASSES), "centroids": np.array([np.frombuffer(r["centroid"], np.float32) for r in rows_]).reshape(-1, DIMS)}
 
 
 RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
@@ -176,7 +208,8 @@ def predict(df: DataFrame, model: dict, text: str = "text", keep: Sequence[str]
                 cosine = vectors([cleaned[i] for i in part], m["idf"]) @ m["centroids"].T
                 best = np.argmax(cosine, axis=1)
                 value = np.clip(cosine[np.arange(len(part)), best], 0, 1).astype(float)
-                score[part], rejected[part] = value, value < m["bounds"][best]
+                size = size_class(np.array([len(cleaned[i]) for i in part]))
+                score[part], rejected[part] = value, value < m["bounds"][best, size]
                 for i, j in zip(part, best):
                     lang[i] = m["langs"][j]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)], names=[*batch.schema.names[:-1], *RESULT.names])
