@@ -9,9 +9,9 @@ permuted within its own format by a Feistel network under a secret key:
   at groups, those in the usual groups first, so a year or a count beside a number doesn't hide it;
 * telephone numbers (``+`` and 8 to 15 digits, 11 after ``+1``): the digits after the first are
   permuted. From the eighth digit on, one ends where another candidate begins;
-* US social security numbers (valid areas): all nine digits are permuted;
+* US social security numbers (valid areas, groups and serials): permuted among all valid ones;
 * IPv4 addresses (each part at most 255): the 32 bits are permuted;
-* dates (1900-01-01 to 2099-11-13, day, month and year with ``-``, ``/`` or ``.``; ISO or
+* dates (1900-01-01 to 2099-11-12, day, month and year with ``-``, ``/`` or ``.``; ISO or
   day-first): the day number is permuted among all these days;
 * e-mail addresses and hexadecimal secrets (32 digits or more): letters and digits are replaced
   within their class by a keyed hash of the lowered whole, the address ending in ``.invalid``.
@@ -26,10 +26,12 @@ rows, other columns and repeated rows are kept as they are; texts are processed
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROUNDS, KEY = 8, "claimscope-demo-key"
+ROUNDS = 8
+#: The session setting that holds the secret key, if callers pass none.
+KEY_SETTING = "spark.claimscope.pii.key"
 FIRST_DAY, DAYS_A, DAYS_B = "1900-01-01", 250, 292
 
 #: Candidates, the more specific first; fixed values. Each is bounded by what can't belong to it.
@@ -131,7 +133,7 @@ def _run(m: str, key: str, pseudonyms: dict[str, str]) -> str:
     return _bind("ts", f"regexp_extract_all({m}, {_literal(PIECES)}, 0)", _bind("us", f"transform(sequence(1, size(ts)), i -> {usual})", _bind("w", walk, "struct(w.s as s, w.n as n)")))
 
 
-def pseudonym(m: str, key: str = KEY) -> str:
+def pseudonym(m: str, key: str) -> str:
     """SQL for struct(s, n): a candidate ``m`` (SQL) with what is valid in it replaced, and how many that are."""
     local_ = {kind: _single("t", key)[kind] for kind in SHAPES}
     one = _bind("p", _whole(m, key), f"struct(p as s, if(p <> {m}, 1, 0) as n)")
@@ -142,7 +144,11 @@ def _single(m: str, key: str) -> dict[str, str]:
     """kind -> SQL for the pseudonym of a candidate of that kind, or ``m`` itself where it isn't valid."""
     only = f"regexp_replace({m}, '[^0-9]', '')"
     phone = _bind("d", only, _refill(m, f"concat(substring(d, 1, 1), {_decimal('substring(d, 2)', key, 'phone')})"))
-    ssn = f"if({m} rlike '^(?!000|666|9)[0-9]{{3}}-(?!00)[0-9]{{2}}-(?!0000)', {_bind('d', only, _refill(m, _decimal('d', key, 'ssn')))}, {m})"
+    # valid numbers are 898 areas (001 to 899 but 666) by 99 groups by 9999 serials, and are permuted among themselves
+    number = lambda at, n: f"cast(substring({m}, {at}, {n}) as bigint)"
+    place = f"(({number(1, 3)} - if({number(1, 3)} > 666, 2, 1)) * 99 + {number(5, 2)} - 1) * 9999 + {number(8, 4)} - 1"
+    back = _bind("y", "x div 989901 + 1", "concat_ws('-', lpad(cast(y + if(y >= 666, 1, 0) as string), 3, '0'), lpad(cast(x % 989901 div 9999 + 1 as string), 2, '0'), lpad(cast(x % 9999 + 1 as string), 4, '0'))")
+    ssn = f"if({m} rlike '^(?!000|666|9)[0-9]{{3}}-(?!00)[0-9]{{2}}-(?!0000)', {_bind('x', _numeric(place, 898, 989901, key, 'ssn'), back)}, {m})"
     parts = f"transform(split({m}, '[.]'), p -> cast(p as bigint))"
     ip = _bind("o", parts, "if(exists(o, p -> p > 255), " + m + ", " + _bind("n", _numeric("((o[0] * 256 + o[1]) * 256 + o[2]) * 256 + o[3]", 65536, 65536, key, "ipv4"), "concat_ws('.', cast(n div 16777216 as string), cast(n div 65536 % 256 as string), cast(n div 256 % 256 as string), cast(n % 256 as string))") + ")")
 
@@ -170,8 +176,17 @@ def _literal(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def pseudonymise(df: DataFrame, text: str = "text", key: str = KEY, count: str | None = "n_replaced") -> DataFrame:
+def secret_key(spark: SparkSession, key: str | None = None) -> str:
+    """``key``, or the session's. There is no default: who knows the key can undo the permutations."""
+    found = key or spark.conf.get(KEY_SETTING, None)
+    if not found:
+        raise ValueError(f"a secret key is needed: pass one or set {KEY_SETTING}")
+    return found.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def pseudonymise(df: DataFrame, text: str = "text", key: str | None = None, count: str | None = "n_replaced") -> DataFrame:
     """``df`` with valid candidates in ``text`` replaced; ``count`` names a column for their number."""
+    key = secret_key(df.sparkSession, key)
     pattern = _literal(ANY)
     found = F.when(F.col(text).rlike(HINT), F.expr(f"regexp_extract_all(`{text}`, {pattern}, 0)")).otherwise(F.when(F.col(text).isNotNull(), F.array().cast("array<string>")))
     made = df.withColumn("__found", found).withColumn("__new", F.expr(f"transform(__found, m -> {pseudonym('m', key)})"))
