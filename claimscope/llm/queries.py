@@ -110,8 +110,13 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def pii_key(spark: SparkSession) -> str:
+    """The session's key; the queries over synthetic tables run with a public one where it has none."""
+    return spark.conf.get(pii.KEY_SETTING, None) or "public key of the synthetic tables"
+
+
 def op8_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pii.pseudonymise(_read(spark, sf_dir, "documents").select("doc_id", "text"), key=pii_key(spark))
 
 
 def op9_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +124,7 @@ def op9_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outcome = _read(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.expr("quality = 0 or toxic = 1").alias("bad"))
+    outcome = _read(spark, sf_dir, "labels").select(F.col("doc_id").alias("item"), F.expr("quality = 0 or toxic = 1").alias("bad"))
     judged = url_reputation.judge(_read(spark, sf_dir, "pages").select("page_id", "url"), outcome)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
@@ -137,8 +142,8 @@ OP10_SQL = rf"""
 with u as (select page_id, case when contains(url, '://') then substring(url, instr(url, '://') + 3) else '' end as rest from pages),
 p as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{url_reputation.UPPER}', '{url_reputation.LOWER}') as host,
     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from u),
-o as (select doc_id as page_id, max((quality = 0 or toxic = 1)::int) as bad from labels where doc_id is not null and (quality = 0 or toxic = 1) is not null group by doc_id),
-h0 as (select host, count(bad) as n, coalesce(sum(bad), 0) as bad, string_split(host, '.') as s from p left join o using (page_id) group by host),
+o as (select doc_id as item, max((quality = 0 or toxic = 1)::int) as bad from labels where doc_id is not null and (quality = 0 or toxic = 1) is not null group by doc_id),
+h0 as (select host, count(bad) as n, coalesce(sum(bad), 0) as bad, string_split(host, '.') as s from p left join o on item = try_cast(regexp_extract(path, '/([0-9]{{1,18}})(?:/|\.html?)?$', 1) as bigint) group by host),
 h as (select host, n, bad, case when len(s) >= 3 and length(s[-1]) = 2 and s[-2] in ('ac', 'co', 'com', 'edu', 'gov', 'net', 'org') then array_to_string(s[-3:], '.')
       when len(s) >= 2 then array_to_string(s[-2:], '.') else host end as domain,
     case when len(s) >= 3 and length(s[-1]) = 2 and s[-2] in ('ac', 'co', 'com', 'edu', 'gov', 'net', 'org') then array_to_string(s[-2:], '.') else s[-1] end as suffix from h0),

@@ -1,6 +1,8 @@
 """URL filters: rules by longest match, then empirical-Bayes host reputation. Native.
 
-Reputation is the rate of bad outcomes among labelled pages. Counts of a host are shrunk towards
+Reputation is the rate of bad outcomes among labelled pages. A page's outcome is that of the item
+it shows: by default the document whose id ends its path (``/en/7817.html``), found among the labels
+of documents. Counts of a host are shrunk towards
 its registered domain's rate, the domain's towards its suffix's, the suffix's towards the overall
 rate: each level has a beta prior whose mean is the parent's posterior mean and whose strength is
 fitted to the level's own spread by moments (between 1 and ``MAX_STRENGTH``). A host is blocked if
@@ -9,8 +11,10 @@ even the lower bound of its posterior is over the threshold, so hosts with littl
 Pages are joined with one row a host, never with each other; counts are pre-aggregated before
 they are shuffled, and a host with a third of all pages is split by Spark's skew join.
 
-Defined results: a null url, or one without ``://``, has an empty host and path; the empty host
-has a reputation like any other. Repeated label rows count once (bad if any of them is). Without
+Defined results: a page that shows no labelled item is no evidence; a null url, or one without ``://``, has an empty host and path; the empty host
+has a reputation like any other. Repeated label rows count once (bad if any of them is), repeated pages as often as they occur. Very
+long urls are judged whole; an id of more than 18 digits is none. Bounds equal to the threshold
+pass. Without
 labels every host has the prior mean 0.5 with no evidence and passes. Empty tables give empty
 results; other columns of the inputs are ignored.
 """
@@ -23,6 +27,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimscope.llm.common import materialize
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 THRESHOLD, Z, MAX_STRENGTH = 0.5, 1.645, 1000.0
 
@@ -85,14 +91,25 @@ def _shrunk(child: DataFrame, parent: DataFrame, key: str | None) -> DataFrame:
     return with_prior.crossJoin(F.broadcast(fit)).withColumn("a", F.expr("strength * mean + bad")).withColumn("b", F.expr("strength * (1 - mean) + n - bad")).drop("mean", "strength")
 
 
+#: The document that a page shows: the number that ends its path.
+SHOWN = r"/([0-9]{1,18})(?:/|\.html?)?$"
+
+
+def shown_document(path: str = "path") -> Column:
+    """The id at the end of a path such as ``/en/7817.html``; null where there is none."""
+    return F.nullif(F.regexp_extract(path, SHOWN, 1), F.lit("")).try_cast("long")
+
+
 def reputation(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row a host of ``pages`` (with host): host, n, bad, posterior_mean, lower_bound.
+    """One row a host of ``pages`` (host, item): host, n, bad, posterior_mean, lower_bound.
 
-    ``labels`` has page_id and bad (boolean).
+    ``labels`` has item and bad (boolean): a page's outcome is that of its item.
     """
-    outcome = labels.where("page_id is not null and bad is not null").groupBy("page_id").agg(F.bool_or("bad").cast("long").alias("bad"))
-    seen = pages.select("page_id", "host").join(outcome, "page_id", "left")
-    hosts = seen.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).withColumns(levels())
+    outcome = labels.where("item is not null and bad is not null").groupBy("item").agg(F.bool_or("bad").cast("long").alias("bad"))
+    # counted by (host, item) first, so neither a host nor an item with a third of all pages meets in one task
+    seen = pages.groupBy("host", "item").agg(F.count(F.lit(1)).alias("times")).join(outcome, "item", "left")
+    counted = seen.groupBy("host").agg(F.coalesce(F.sum(F.expr("if(bad is not null, times, 0)")), F.lit(0)).alias("n"), F.coalesce(F.sum(F.expr("bad * times")), F.lit(0)).alias("bad")).withColumns(levels())
+    hosts = materialize(counted, "hosts")  # read by all three levels
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     root = suffixes.agg(F.expr("coalesce(sum(bad) / cast(nullif(sum(n), 0) as double), 0.5D)").alias("mean"))
@@ -103,9 +120,13 @@ def reputation(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return post.select("host", "n", "bad", "posterior_mean", F.expr(f"greatest(0D, posterior_mean - {Z}D * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))))").alias("lower_bound"))
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[UrlRule] = RULES, threshold: float = THRESHOLD) -> DataFrame:
-    """page_id, host, path, rule, verdict and the host's posterior_mean and lower_bound for each page."""
-    parts = url_parts(pages.select("page_id", "url"))
+def judge(pages: DataFrame, labels: DataFrame, item: Column | None = None, rules: Sequence[UrlRule] = RULES, threshold: float = THRESHOLD) -> DataFrame:
+    """page_id, host, path, rule, verdict and the host's posterior_mean and lower_bound for each page.
+
+    ``item`` (over page_id, url, host and path) names what the page shows, as ``labels`` (item, bad)
+    does; by default the document whose id ends the path.
+    """
+    parts = url_parts(pages.select("page_id", "url")).withColumn("item", shown_document() if item is None else item)
     rep = reputation(parts, labels).select("host", "posterior_mean", "lower_bound")
     verdict = F.coalesce(matched(rules, "verdict"), F.when(F.col("lower_bound") > threshold, "block").otherwise("allow"))
     return parts.join(rep, "host", "left").select("page_id", "host", "path", matched(rules, "name").alias("rule"), verdict.alias("verdict"), "posterior_mean", "lower_bound")

@@ -76,7 +76,8 @@ def test_keep_one_leaves_one_of_each(spark):
     want, _ = groups(texts, 5)
     df = spark.createDataFrame([*texts.items(), (7, texts[7]), (7, "another text of the same id")], DOCS)
     kept = [r["doc_id"] for r in near_dup.keep_one(df).collect()]
-    assert sorted(kept) == sorted({i for i, c in want.items() if i == c})
+    # the other text of id 7 is a component of its own
+    assert sorted(kept) == sorted([*{i for i, c in want.items() if i == c}, 7])
     assert near_dup.near_duplicates(df.limit(0)).count() == 0
 
 
@@ -113,6 +114,51 @@ def test_language_id(spark):
     assert {r["lang_pred"] for r in lang_id.predict(df, empty).collect()} == {"und"}
 
 
+def test_language_id_against_brute_force(spark):
+    """Document frequencies, TF-IDF, cosines and bounds again, from dictionaries."""
+    rng = random.Random(4)
+    rows = [(i, words(rng, rng.randrange(1, 60), ("abcdefg", "mnopqrs", "éüabxyz")[i % 3]), "xyz"[i % 3]) for i in range(150)]
+    rows += [(500, "ab " * 400, None), (501, "!!", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang_id.learn(df, F.col("doc_id") % 5 != 0)
+
+    def grams(text):
+        out = Counter()
+        b = lang_id.clean(text.encode()) or b""
+        for j in range(len(b) - 2):
+            out[((b[j] << 16 | b[j + 1] << 8 | b[j + 2]) * 0x9E3779B1 & 0xFFFFFFFF) >> 20] += 1
+        return out
+
+    training = [grams(t) for i, t, lang in rows if i % 5 and lang]
+    seen = Counter(k for g in training for k in g)
+    idf = {k: math.log((len(training) + 1) / (n + 1)) + 1 for k, n in seen.items()}
+    other = math.log(len(training) + 1) + 1
+    assert all(model["idf"][k] == pytest.approx(v, rel=1e-5) for k, v in idf.items())
+    sizes = {lang: sum(x == lang for x in model["langs"]) for lang in "xyz"}
+    assert all(2 <= n <= lang_id.CENTROIDS for n in sizes.values())
+    for r in lang_id.predict(df, model).collect():
+        g = {k: math.log1p(n) * idf.get(k, other) for k, n in grams(r["text"]).items()}
+        if not g:
+            assert (r["lang_pred"], r["score"], r["rejected"]) == ("und", 0.0, True)
+            continue
+        norm = math.sqrt(sum(v * v for v in g.values()))
+        cosines = [sum(v * float(c[k]) for k, v in g.items()) / norm for c in model["centroids"]]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        assert r["score"] == pytest.approx(cosines[best], abs=1e-4) and r["lang_pred"] == model["langs"][best]
+        size = int(lang_id.size_class(np.array([len(lang_id.clean(r["text"].encode()))]))[0])
+        assert r["rejected"] == (r["score"] < model["bounds"][best, size])
+        assert r["doc_id"] >= 500 or not r["rejected"]
+
+
+def test_centroids_are_groups_not_outliers():
+    rng = np.random.default_rng(2)
+    x = np.abs(np.concatenate([np.eye(6)[i] + rng.normal(0, 0.05, (60, 6)) for i in range(3)] + [np.eye(6)[3:]]))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    c = lang_id.cluster(x, 3)
+    assert np.bincount((x @ c.T).argmax(1)).min() >= 50
+    assert len(lang_id.cluster(x[:2], 3)) == 2
+
+
 def check_packed(rows, capacity):
     bins = {}
     for r in rows:
@@ -156,19 +202,25 @@ def test_plans_are_near_the_bound():
 
 def test_subset_sums_against_brute_force():
     rng = random.Random(6)
-    for _ in range(200):
-        lengths = rng.sample(range(0, 40), rng.randrange(1, 5))
-        counts = [rng.randrange(1, 4) for _ in lengths]
-        budget = rng.randrange(0, 150)
-        k = mixing.fit(lengths, counts, budget)
-        assert all(0 <= a <= b for a, b in zip(k, counts))
-        got = sum(x * y for x, y in zip(lengths, k))
+    assert sum(k * x for k, x in zip(mixing.fit([3, 39], [4, 4], 160), (3, 39))) == 159
+    for _ in range(1500):
+        lengths = sorted(rng.sample(range(0, 60), rng.randrange(1, 6)))
+        counts = [rng.randrange(0, 6) for _ in lengths]
+        whole = sum(x * n for x, n in zip(lengths, counts))
+        budget = rng.randrange(0, whole + 5)
+        taken = mixing.fit(lengths, counts, budget)
+        assert all(0 <= k <= n for k, n in zip(taken, counts))
         sums = {0}
         for x, n in zip(lengths, counts):
-            sums = {s + j * x for s in sums for j in range(n + 1)}
-        assert got <= budget or got == sum(x * n for x, n in zip(lengths, counts))
-        best = max(s for s in sums if s <= budget)
-        assert best - got <= max(lengths, default=0)
+            sums = {s + x * k for s in sums for k in range(n + 1)}
+        assert sum(x * k for x, k in zip(lengths, taken)) == max(s for s in sums if s <= budget)
+
+
+def test_large_budgets_are_met():
+    rng = random.Random(9)
+    for lengths, counts in ((list(range(1, 9001)), [rng.randrange(1, 10**6) for _ in range(9000)]), ([1000, 1001, 7777], [10**6] * 3)):
+        budget = sum(x * n for x, n in zip(lengths, counts)) * 37 // 100 + 13
+        assert sum(x * k for x, k in zip(lengths, mixing.fit(lengths, counts, budget))) == budget
 
 
 def test_mixing(spark):
@@ -202,6 +254,67 @@ def test_mixing(spark):
     assert mixing.mix_sizes(df.limit(0)).count() == 0
 
 
+def spark_hash(value, *rest):
+    """xxhash64 of a string or long and integers, as Spark's function."""
+    import struct
+
+    import xxhash
+
+    raw = value.encode() if isinstance(value, str) else struct.pack("<q", value)
+    h = xxhash.xxh64_intdigest(raw, 42)
+    for k in rest:
+        h = xxhash.xxh64_intdigest(struct.pack("<i", k), h)
+    return h
+
+
+def sampled(text, n):
+    """The fingerprint of a text by its definition."""
+    out = []
+    for k in range(n):
+        least = None
+        for word, w in Counter((text or "").lower().split()).items():
+            h = spark_hash(word)
+            h = h - (1 << 64) if h >> 63 else h
+            h1, h2 = spark_hash(h, k), spark_hash(h, k + 4096)
+            r = -math.log(((h1 & 0xFFFFFFFF) + 1) * ((h1 >> 32) + 1.0) / 18446744073709551616.0)
+            c = -math.log((((h2 >> 16) & 0xFFFFFF) + 1) * ((h2 >> 40) + 1.0) / 281474976710657.0)
+            b = (h2 & 0xFFFF) / 65536.0
+            t = math.floor(math.log(w) / r + b)
+            packed = (int((math.log(c) - r * (t - b + 1) + 128) * 2147483648.0) << 24) | ((h1 ^ (t * 40503)) & 0xFFFFFF)
+            least = packed if least is None or packed < least else least
+        out.append("" if least is None else f"{least & 0xFFFFFF:06X}")
+    return "".join(out)
+
+
+def test_fingerprints_against_brute_force(spark):
+    rng = random.Random(12)
+    texts = [words(rng, rng.randrange(1, 60)) for _ in range(12)] + [None, "", " \n", "one", "One one ONE", "w " * 3000]
+    rows = list(enumerate(texts))
+    got = {r["doc_id"]: r for r in cws.edited_neighbours(spark.createDataFrame(rows, DOCS)).collect()}
+    for i, t in rows:
+        t, after = t or "", texts[i - 1] or ""
+        half = len(t) // 2
+        edited = t[: len(t) - half] + after[:half]
+        prints = [sampled(x, cws.SAMPLES) for x in (t, edited, after)]
+        assert (got[i]["fingerprint"], got[i]["edited_fingerprint"]) == tuple(prints[:2])
+        for column, other in (("near_edited", prints[1]), ("near_next", prints[2])):
+            a = prints[0]
+            like = float(a == other) if "" in (a, other) else sum(a[k : k + 6] == other[k : k + 6] for k in range(0, len(a), 6)) / cws.SAMPLES
+            assert got[i][column] == pytest.approx(like)
+
+
+def test_neighbours_over_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(cws, "PARTITION_BYTES", 200)
+    rows = [(i, f"word{i} same") for i in range(200)] + [(None, "none"), (7, "again")]
+    got = cws.edited_neighbours(spark.createDataFrame(rows, DOCS)).collect()
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    want = Counter()
+    for (i, t), (_, after) in zip(order, order[1:] + order[:1]):
+        half = len(t) // 2
+        want[i, __import__("hashlib").sha256((t[: len(t) - half] + after[:half]).encode()).hexdigest()] += 1
+    assert Counter((r["doc_id"], r["edited_sha256"]) for r in got) == want
+
+
 def test_fingerprints(spark):
     rng = random.Random(9)
     base = words(rng, 300)

@@ -49,3 +49,42 @@ def test_run_is_the_stages_in_a_row(spark, folder):
     path, _ = folder
     assert corpus_pipeline.run(spark, path).count() > 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_dup", "pii", "mixing", "packing"]
+
+
+def test_empty_tables_and_clashing_columns(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, rejected string, length int, offset string, target double, component_id string"
+    for name, rows in (("empty", []), ("some", [(i, f"abc defg cab number {i} " * 9, "x", None, 0, "clash", 1, "clash", 0.5, "clash") for i in range(12)])):
+        path = str(tmp_path / name)
+        spark.createDataFrame(rows, schema).write.parquet(f"{path}/documents.parquet")
+        docs = spark.read.parquet(f"{path}/documents.parquet")
+        for stage, run in corpus_pipeline.STAGES[:-1]:
+            made = run(spark, docs, path)
+            assert made.columns == docs.columns and (stage == "near_dup" or made.count() == len(rows))
+        assert corpus_pipeline.run(spark, path).count() == (12 if rows else 0) or rows
+
+
+def test_stages_leave_no_tables_behind(spark, folder, tmp_path, monkeypatch):
+    import os
+
+    from claimscope.llm import common
+
+    monkeypatch.setattr(common, "shared_dir", lambda spark: str(tmp_path))
+    monkeypatch.setattr(corpus_pipeline, "shared_dir", lambda spark: str(tmp_path))
+    corpus_pipeline.run(spark, folder[0]).count()
+    left = sorted(x.rsplit("-", 1)[0] for x in os.listdir(tmp_path))
+    assert [x for x in left if x.startswith("stage-")] == ["stage-mixing"]  # the last stage's input
+    assert not {"sketches", "nodes", "edges", "sets", "sizes", "budgets", "lengths"} & set(left)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from claimscope.llm import common
+
+    class Session:
+        def __init__(self, master, folder=None):
+            self.sparkContext = type("Context", (), {"master": master, "applicationId": "an app"})
+            self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+
+    with pytest.raises(ValueError):
+        common.shared_dir(Session("spark://host:7077"))
+    assert common.shared_dir(Session("spark://host:7077", "hdfs://x/y/")) == "hdfs://x/y"
+    assert common.shared_dir(Session("local[2]")) == common.shared_dir(Session("local[4]"))

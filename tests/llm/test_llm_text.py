@@ -30,6 +30,23 @@ def test_quality_against_brute_force(spark):
     assert quality_rules.judge(df.limit(0)).count() == 0
 
 
+def test_policies_over_a_real_ledger(spark):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(["word", "Other", "# $", "ABC", "x1"], k=rng.randrange(0, 120))) for _ in range(80)] + [None, "line\n" * 60]
+    book = quality_rules.ledger(spark.createDataFrame([(i, t, "") for i, t in enumerate(texts)], DOCS))
+    bits = [r["fail_bits"] for r in book.collect()]
+    names = {r.name: 1 << r.bit for r in quality_rules.RULES}
+    for r in quality_rules.compare(book).collect():
+        policy = next(p for p in quality_rules.POLICIES if p.version == r["version"])
+        mask = sum(names[n] for n in policy.rules)
+        seen = [b & mask for b in bits]
+        assert (r["mask"], r["n_docs"], r["n_kept"]) == (mask, len(bits), seen.count(0))
+        assert r["any_bits"] == __import__("functools").reduce(int.__or__, seen) and r["all_bits"] == __import__("functools").reduce(int.__and__, seen)
+    for r in quality_rules.ablation(book).collect():
+        mask = sum(names.values())
+        assert (r["n_failed"], r["n_rescued"]) == (sum(b & names[r["rule"]] > 0 for b in bits), sum(b & mask == names[r["rule"]] for b in bits))
+
+
 def test_policies_and_ablation(spark):
     book = spark.createDataFrame([(0,), (1,), (8,), (9,), (64,)], "fail_bits long")
     by = {r["version"]: r for r in quality_rules.compare(book).collect()}
@@ -58,6 +75,28 @@ def test_history_rewriting_is_found():
     assert made["rewrote"] == [1] and made["loss_spans"] == []
 
 
+def test_long_conversations_take_linear_time():
+    import time
+
+    def timed(n):
+        turns = [("user", "q" * 20), ("assistant", "a<|im_end|>")] * n
+        began = time.perf_counter()
+        made = chat_format.format_one(turns)
+        took = time.perf_counter() - began
+        assert chat_format.parse(made["formatted"]) == turns and len(made["loss_spans"]) == n
+        return took
+
+    timed(100)
+    assert timed(10_000) < 60 * max(timed(1000), 0.01)
+
+
+def test_templates_and_black_boxes_agree():
+    turns = [("user", "a<|x"), ("assistant", ""), ("assistant", "b"), ("system", "\n")]
+    numbered = chat_format.Template(lambda n, t: (f"{n}:{t[0]}={t[1]};" + ("#" if n == 2 else ""), n + 1), "<s>", 0)
+    for template in (chat_format.chatml, numbered):
+        assert chat_format.spans(turns, template) == chat_format.spans(turns, lambda t, f=template: f(t))
+
+
 def test_chat_table(spark):
     rows = [(1, 1, "assistant", None), (1, 0, None, "q"), (2, 0, "assistant", "a"), (2, 0, "assistant", "a"), (None, 0, "user", "<|im_start|>")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
@@ -67,7 +106,10 @@ def test_chat_table(spark):
     assert chat_format.format_conversations(df.limit(0)).count() == 0
 
 
-def feistel_decimal(digits, kind, key=pii.KEY):
+KEY = "a key"
+
+
+def feistel_decimal(digits, kind, key=KEY):
     a, b = digits[: len(digits) // 2], digits[len(digits) // 2 :]
     for i in range(pii.ROUNDS):
         f = int(hashlib.sha256(f"{key}|{kind}|{i}|{len(a)}|{b}".encode()).hexdigest()[:15], 16)
@@ -90,7 +132,7 @@ def test_pii_against_brute_force(spark):
         (6, "a.b1@x.org twice a.b1@x.org", 2), (7, "on 2001-02-03, 03.02.2001 and 03/02/2001", 3), (8, "+1 (017) 555-7713 or +10175557713", 2), (9, "10.0.0.1 " * 3000, 3000), (10, 'token = "' + "aB" * 20 + '"###', 1),
     ]
     df = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(1, rows[0][1])], "doc_id long, text string").withColumn("n_replaced", F.lit("clash"))
-    got = {r["doc_id"]: r for r in pii.pseudonymise(df).collect()}
+    got = {r["doc_id"]: r for r in pii.pseudonymise(df, key=KEY).collect()}
     assert {i: got[i]["n_replaced"] for i, _, _ in rows} == {i: n for i, _, n in rows}
     for i in (2, 3, 4, 5):
         assert got[i]["text"] == rows[i - 1][1]
@@ -103,8 +145,8 @@ def test_pii_against_brute_force(spark):
     assert len(set(got[9]["text"].split())) == 1 and "10.0.0.1" not in got[9]["text"]
     x = got[6]["text"].split()
     assert x[0] == x[2] != "a.b1@x.org" and x[0].endswith(".invalid")
-    assert "aBaB" not in got[10]["text"] and len(got[10]["text"]) == len(rows[9][1])
-    assert pii.pseudonymise(df.limit(0)).count() == 0
+    assert "aB" * 20 not in got[10]["text"] and len(got[10]["text"]) == len(rows[9][1])
+    assert pii.pseudonymise(df.limit(0), key=KEY).count() == 0
 
 
 def test_feistel_is_a_permutation(spark):
@@ -114,19 +156,141 @@ def test_feistel_is_a_permutation(spark):
     assert tuple(n) == (600, 0, 599)
 
 
+def prf(kind, i, size, half):
+    return int(hashlib.sha256(f"{KEY}|{kind}|{i}|{size}|{half}".encode()).hexdigest()[:15], 16)
+
+
+def feistel_numeric(v, a, b, kind):
+    x, y = divmod(v, b)
+    for i in range(pii.ROUNDS):
+        if i % 2 == 0:
+            x = (x + prf(kind, i, a, y)) % a
+        else:
+            y = (y + prf(kind, i, b, x)) % b
+    return x * b + y
+
+
+def classed(value, kind):
+    low = value.lower()
+    whole = hashlib.sha512(low.encode()).hexdigest()
+    out = []
+    for i, c in enumerate(value):
+        k = i // 64
+        stream = hashlib.sha512(f"{KEY}|{kind}|{k}|{low if k < 2 else whole}".encode()).hexdigest()
+        draw = int(stream[2 * (i % 64) : 2 * (i % 64) + 2], 16)
+        last = ("f", "F") if kind == "secret" else ("z", "Z")
+        for first, end in (("0", "9"), ("a", last[0]), ("A", last[1])):
+            if first <= c <= end:
+                c = chr(ord(first) + draw % (ord(end) - ord(first) + 1))
+                break
+        out.append(c)
+    return "".join(out)
+
+
+def ssn(text):
+    a, g, n = map(int, text.split("-"))
+    x = feistel_numeric(((a - (2 if a > 666 else 1)) * 99 + g - 1) * 9999 + n - 1, 898, 989901, "ssn")
+    a = x // 989901 + 1
+    return f"{a + (a >= 666):03d}-{x % 989901 // 9999 + 1:02d}-{x % 9999 + 1:04d}"
+
+
+def day(text):
+    import datetime
+
+    first = datetime.date(1900, 1, 1)
+    d = datetime.date.fromisoformat(text)
+    return (first + datetime.timedelta(days=feistel_numeric((d - first).days, 250, 292, "date"))).isoformat()
+
+
+def address(text):
+    n = 0
+    for part in text.split("."):
+        n = n * 256 + int(part)
+    n = feistel_numeric(n, 65536, 65536, "ipv4")
+    return ".".join(str(n >> s & 255) for s in (24, 16, 8, 0))
+
+
+def test_every_kind_against_brute_force(spark):
+    rng = random.Random(8)
+    mails = ["Jo.Doe+x9@mail.example.org", "a" * 60 + "@" + "b" * 60 + ".com"]
+    want = {m: classed(m.rsplit(".", 1)[0], "email") + ".invalid" for m in mails}
+    want |= {x: classed(x, "secret") for x in ("0aF9" * 8, "DEAD" * 60)}
+    want |= {x: address(x) for x in ("1.2.3.4", "255.255.255.255", "0.0.0.0")}
+    want |= {x: day(x) for x in ("1900-01-01", "2024-02-29", "2099-11-12")}
+    numbers = [f"{rng.choice([1, 665, 667, 899, rng.randrange(1, 665)]):03d}-{rng.randrange(1, 100):02d}-{rng.randrange(1, 10000):04d}" for _ in range(40)]
+    want |= {x: ssn(x) for x in numbers}
+    same = ["666-12-1234", "900-12-1234", "000-12-1234", "123-00-1234", "123-45-0000", "1.2.3.256", "2099-11-13", "1899-12-31"]
+    want |= {x: x for x in same}
+    df = spark.createDataFrame([(k, f"see {k} there") for k in want], "k string, text string")
+    got = {r["k"]: r["text"] for r in pii.pseudonymise(df, key=KEY).collect()}
+    assert got == {k: f"see {v} there" for k, v in want.items()}
+    valid = [want[x] for x in numbers]
+    assert len(set(valid)) == len(set(numbers)) and all(v[:3] not in ("000", "666") and v[0] != "9" and v[4:6] != "00" and v[7:] != "0000" for v in valid)
+
+
+def test_a_key_is_needed(spark):
+    df = spark.createDataFrame([(1, "1.2.3.4")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        pii.pseudonymise(df)
+    spark.conf.set(pii.KEY_SETTING, "it's \\ a key")
+    try:
+        assert pii.pseudonymise(df).first()["text"] != pii.pseudonymise(df, key=KEY).first()["text"] != "1.2.3.4"
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+
+
+def test_runs_like_addresses(spark):
+    long = "a." * 5000 + "@" + "b-" * 5000
+    df = spark.createDataFrame([(1, long), (2, "x@" * 5000), (3, long + "c.org " + "jo@x.org")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.pseudonymise(df, key=KEY).collect()}
+    assert got[2]["n_replaced"] == 0 and "jo@x.org" not in got[3]["text"] and len(got[1]["text"]) == len(long)
+
+
 def test_urls(spark):
-    urls = ["HTTPS://A.Example.COM/en/7?q#f", "http://example.net/de/8", "x.com/en/", None, "http://b.net/de/1", "http://notcom/en/1", "http://q.org/es/", "http://k.com", "a://bad.co.uk/x", "http://k.com/en/#a"]
-    pages = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(urls)] + [(100 + i, "http://spam.zz/p", "") for i in range(30)] + [(3, None, "")], "page_id long, url string, host string")
-    labels = spark.createDataFrame([(100 + i, True) for i in range(30)] + [(7, False), (7, False), (None, True), (9, None)], "page_id long, bad boolean")
+    urls = ["HTTPS://A.Example.COM/en/7?q#f", "http://example.net/de/8", "x.com/en/", None, "http://b.net/de/1", "http://notcom/en/1", "http://q.org/es/", "http://k.com/3.html", "a://bad.co.uk/x", "http://k.com/en/#a", "http://l.com/" + "x/" * 20000 + "9" * 19]
+    pages = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(urls)] + [(100 + i, f"http://spam.zz/p/{100 + i}/", "") for i in range(30)] + [(3, None, "")], "page_id long, url string, host string")
+    labels = spark.createDataFrame([(100 + i, True) for i in range(30)] + [(3, False), (3, False), (None, True), (7, None)], "item long, bad boolean")
     got = {r["page_id"]: r for r in url_reputation.judge(pages, labels).collect()}
     assert (got[0]["host"], got[0]["path"], got[0]["rule"], got[0]["verdict"]) == ("a.example.com", "/en/7", "example.com/en/7", "allow")
     assert [got[i]["verdict"] for i in (1, 4, 6, 9)] == ["block", "allow", "block", "block"]
-    assert got[2]["host"] == got[3]["host"] == "" and got[5]["rule"] is None and got[7]["path"] == ""
+    assert got[2]["host"] == got[3]["host"] == "" and got[5]["rule"] is None and got[7]["path"] == "/3.html"
     assert got[100]["verdict"] == "block" and got[7]["verdict"] == "allow"
     assert url_reputation.judge(pages.limit(0), labels).count() == 0
     assert {r["verdict"] for r in url_reputation.judge(pages, labels.limit(0)).where("rule is null").collect()} == {"allow"}
 
 
+def test_shown_documents(spark):
+    paths = {"/en/7817": 7817, "/en/25/": 25, "/a/8.html": 8, "/en/x9": None, "/": None, "": None, "/9/b": None, "/" + "1" * 19: None, None: None}
+    df = spark.createDataFrame([(p,) for p in paths], "path string").withColumn("d", url_reputation.shown_document())
+    assert {r["path"]: r["d"] for r in df.collect()} == paths
+
+
+def planted(spark, hosts):
+    """Verdict and lower bound of hosts (name, labelled pages, bad ones), each with one page more."""
+    rows, labels = [], []
+    for name, n, bad in hosts:
+        for i in range(n + 1):
+            rows.append((len(rows), f"http://{name}/p/{len(rows)}"))
+            if i < n:
+                labels.append((len(rows) - 1, i < bad))
+    df, out = spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(labels, "item long, bad boolean")
+    return {r["host"]: (r["verdict"], r["lower_bound"]) for r in url_reputation.judge(df, out, rules=()).select("host", "verdict", "lower_bound").distinct().collect()}
+
+
+def test_each_level_of_reputation_moves_verdicts(spark):
+    """Hosts are blocked by their own outcomes, by their domain's and by their suffix's."""
+    good = [(f"h{i}.good{i}.aa", 40, 2) for i in range(30)]
+    got = planted(spark, [*good, ("own.good0.aa", 60, 55), ("few.good1.aa", 2, 2)])
+    assert got["own.good0.aa"][0] == "block" and got["h0.good0.aa"][0] == "allow"
+    assert got["few.good1.aa"][0] == "allow"  # two bad outcomes in a good domain aren't enough
+    got = planted(spark, [*good, *((f"h{i}.bad.aa", 40, 39) for i in range(12)), ("new.bad.aa", 0, 0), ("new.good3.aa", 0, 0), ("few.bad.aa", 1, 1)])
+    assert got["new.bad.aa"][0] == got["few.bad.aa"][0] == "block" and got["new.good3.aa"][0] == "allow"  # no outcomes of its own
+    got = planted(spark, [*good, *((f"h.d{i}.zz", 40, 39) for i in range(12)), ("new.new.zz", 0, 0), ("new.new.aa", 0, 0)])
+    assert got["new.new.zz"][0] == "block" and got["new.new.aa"][0] == "allow"  # nor of its domain
+    got = planted(spark, [*good, *((f"h{i}.bad.aa", 40, 39) for i in range(12)), ("fine.bad.aa", 200, 0)])
+    assert got["fine.bad.aa"][0] == "allow"  # enough good outcomes of its own
+
+
 def test_levels(spark):
     df = spark.createDataFrame([("a.b.example.com",), ("x.co.uk",), ("a.x.co.uk",), ("localhost",), ("",)], "host string").withColumns(url_reputation.levels())
     assert {r["host"]: (r["domain"], r["suffix"]) for r in df.collect()} == {"a.b.example.com": ("example.com", "com"), "x.co.uk": ("x.co.uk", "co.uk"), "a.x.co.uk": ("x.co.uk", "co.uk"), "localhost": ("localhost", "localhost"), "": ("", "")}

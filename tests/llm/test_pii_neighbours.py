@@ -14,7 +14,7 @@ def test_neighbouring_digits_hide_nothing(spark):
         ("0 " * 8000 + CARD, [CARD]), (f"1 22 1 22 1 22 {CARD}", [CARD]),
     ]
     df = spark.createDataFrame([*enumerate(alone), *((100 + i, t) for i, (t, _) in enumerate(cases))], "doc_id long, text string")
-    got = {r["doc_id"]: r for r in pii.pseudonymise(df).collect()}
+    got = {r["doc_id"]: r for r in pii.pseudonymise(df, key="k").collect()}
     new = {v: got[i]["text"] for i, v in enumerate(alone)}
     assert all(v != p for v, p in new.items())
     for i, (text, found) in enumerate(cases):
@@ -26,7 +26,7 @@ def test_neighbouring_digits_hide_nothing(spark):
 
 def test_secrets_of_any_length(spark):
     texts = ["ab12" * n for n in (8, 32, 33, 600)]
-    got = [r["text"] for r in pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    got = [r["text"] for r in pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), key="k").orderBy("doc_id").collect()]
     for old, new in zip(texts, got):
         assert old != new and re.sub("[0-9]", "0", re.sub("[a-f]", "a", old)) == re.sub("[0-9]", "0", re.sub("[a-f]", "a", new))
     # draws don't repeat along a long secret
