@@ -6,12 +6,14 @@ of documents. Stages are written as Parquet between one another.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimscope.llm import lang_id, mixing, near_dup, packing, pii
-from claimscope.llm.common import materialize, remainder
-from claimscope.llm.queries import tokenizer_path
+from claimscope.llm.common import discard, remainder, scratch, shared_dir
+from claimscope.llm.queries import pii_key, tokenizer_path
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +29,7 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by pseudonyms; n_chars follows the text."""
-    done = pii.pseudonymise(docs, count=None)
+    done = pii.pseudonymise(docs, key=pii_key(spark), count=None)
     return done.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text").cast(docs.schema["n_chars"].dataType))) if "n_chars" in docs.columns else done
 
 
@@ -48,7 +50,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch():  # a stage's own tables go once its result is written
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path := f"{shared_dir(spark)}/stage-{name}-{uuid.uuid4().hex}")
+        if before is not None:
+            discard(before)
+        docs = before = spark.read.schema(made.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
