@@ -53,3 +53,8 @@ def quarantined(raw: Column) -> Column:
     """True for ids that are there, aren't all zeros, and fail the check."""
     d = F.trim(F.coalesce(raw, F.lit("")))
     return (d != "") & ~d.rlike("^0+$") & canonical_npi(raw).isNull()
+
+
+def malformed_code(code: Column) -> Column:
+    """True unless a billing code is five digits, or a letter and four digits."""
+    return ~F.coalesce(code, F.lit("")).rlike("^(?:[0-9]{5}|[A-Za-z][0-9]{4})$")

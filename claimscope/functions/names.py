@@ -61,12 +61,6 @@ def name_match(a: Column, b: Column) -> Column:
     )
 
 
-def split_states(cell: Column, full_names: Column) -> Column:
-    """Distinct full state names in order; ``full_names`` maps codes and upper-case names to names."""
-    parts = F.filter(F.transform(F.split(F.coalesce(cell, F.lit("")), "[;,/]"), F.trim), lambda p: p != "")
-    return F.array_distinct(F.transform(parts, lambda p: F.coalesce(F.try_element_at(full_names, F.upper(p)), p)))
-
-
 def state_codes(cell: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(F.split(F.coalesce(cell, F.lit("")), "[;,/]"), lambda p: F.upper(F.trim(p))), lambda p: F.length(p) == 2))
 
