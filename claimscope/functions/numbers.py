@@ -25,11 +25,11 @@ def not_nan(x: Column) -> Column:
 
 
 def mean_tie_percentile(x: Column, *by: Column) -> Column:
-    """Percentile rank with ties at their mean rank; nulls are neither ranked nor counted."""
-    group = Window.partitionBy(*by)
-    rank = F.rank().over(group.orderBy(x.asc_nulls_last()))
-    ties = F.count(x).over(Window.partitionBy(*by, x))
-    return F.when(x.isNotNull(), (rank + (ties - 1) / F.lit(2.0)) / F.count(x).over(group))
+    """Percentile rank with ties at their mean rank; nulls are neither ranked nor counted. One sort for all three parts."""
+    order = Window.partitionBy(*by).orderBy(x.asc_nulls_last())
+    ties = F.count(x).over(order.rangeBetween(Window.currentRow, Window.currentRow))
+    n = F.count(x).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return F.when(x.isNotNull(), (F.rank().over(order) + (ties - 1) / F.lit(2.0)) / n)
 
 
 def bin_of(position: Column, n: Column, bins: int) -> Column:

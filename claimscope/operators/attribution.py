@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from claimscope.config import DEFAULT, Config
 from claimscope.functions.dates import active_at_claim, month_index
 from claimscope.functions.ids import canonical_npi, quarantined
+from claimscope.operators import order
 
 
 def attribute(claims: DataFrame, providers: DataFrame) -> DataFrame:
@@ -44,8 +45,11 @@ def coverage(fact: DataFrame) -> DataFrame:
 
 
 def coverage_split(fact: DataFrame) -> DataFrame:
+    """Rows, dollars and spread with and without a provider; the two groups' quantiles are exact and no task sorts a group."""
     x = F.col("total_paid").cast("double")
-    return fact.groupBy("provider_matched").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("total_paid").alias("paid"), F.median(x).alias("median_paid"), F.percentile(x, 0.9).alias("p90_paid"), F.max(x).alias("max_paid"))
+    sums = fact.groupBy("provider_matched").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("total_paid").alias("paid"), F.max(x).alias("max_paid"))
+    spread = order.quantiles(fact, ["provider_matched"], "total_paid", {"median_paid": 0.5, "p90_paid": 0.9})
+    return order._met(sums, spread, ["provider_matched"]).select("provider_matched", "n_rows", "paid", "median_paid", "p90_paid", "max_paid")
 
 
 def top_unmatched(fact: DataFrame, n: int = 25) -> DataFrame:

@@ -79,13 +79,13 @@ def ranked(tracked: DataFrame) -> DataFrame:
 def triage(tracked: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Review flags: genuine fragmentation, companies that may be one operator, low confidence, no name."""
     name = F.trim(F.coalesce("company_name", F.lit("")))
-    unnamed = (name == "") | name.startswith("npi:")
+    unnamed = F.col("name_unresolved") if "name_unresolved" in tracked.columns else (name == "") | name.startswith("npi:")
     share = F.col("max_constituent_net_paid").cast("double") / F.nullif(F.col("company_net_paid").cast("double"), F.lit(0.0))
     ready = tracked.withColumns({
         "name_unresolved": unnamed, "genuine_fragmentation": F.coalesce(F.col("fragmentation_signal") & (share < cfg.frag_max_share), F.lit(False)),
         "__key": F.when(~unnamed & (name_root(name) != ""), F.concat_ws("||", name_root(name), F.coalesce("states", F.lit("")))),
     })
-    same = Window.partitionBy("__key")
+    same = Window.partitionBy(F.coalesce("__key", F.concat(F.lit("|"), "company_id")))  # companies without a key stand alone
     met = ready.withColumn("possible_same_operator", F.col("__key").isNotNull() & (F.count("company_id").over(same) >= 2))
     flags = [(F.col("merge_confidence") == "low", "low_merge_confidence"), (F.col("possible_same_operator"), "possible_same_operator"), (F.col("genuine_fragmentation"), "genuine_fragmentation"), (F.col("name_unresolved"), "name_unresolved")]
     return met.withColumn("review_flags", F.concat_ws("; ", *[F.when(c, t) for c, t in flags])).drop("__key")

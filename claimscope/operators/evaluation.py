@@ -7,8 +7,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimscope.config import DEFAULT, Config
+from claimscope.functions.dates import timing_bucket
 from claimscope.functions.names import bare_alnum, state_codes
 from claimscope.functions.numbers import bin_of
+from claimscope.operators import order
 
 
 def labels(companies: DataFrame, by_npi: DataFrame, by_name: DataFrame) -> DataFrame:
@@ -28,9 +30,11 @@ def labels(companies: DataFrame, by_npi: DataFrame, by_name: DataFrame) -> DataF
 
 
 def binned(df: DataFrame, score: str, tie: str, name: str, bins: int = 10, by: list[str] | None = None) -> DataFrame:
-    """Adds the bin of each row's rank by (score, tie)."""
-    w = Window.partitionBy(*(by or []))
-    return df.withColumn(name, bin_of(F.row_number().over(w.orderBy(F.col(score).asc_nulls_last(), tie)), F.count(F.lit(1)).over(w), bins))
+    """Adds the bin of each row's rank by (score, tie); ranks are counted in cuts of the score, not by one task."""
+    by = by or []
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    met = order._met(order.ranked(df, F.col(score), [tie], "__rank", by), sizes, by)
+    return met.select(*df.columns, bin_of(F.col("__rank"), F.col("__n"), bins).alias(name))
 
 
 def lift_table(df: DataFrame, bin_column: str, hit: str = "hit") -> DataFrame:
@@ -50,20 +54,28 @@ def within_size_lift(df: DataFrame, score: str, size: str, tie: str, hit: str =
 
 
 def at_k(df: DataFrame, score: str, label: str, tie: str, ks: tuple[int, ...]) -> DataFrame:
-    """precision, recall and lift among the k rows of highest score."""
-    ranked = df.select(F.row_number().over(Window.orderBy(F.col(score).desc_nulls_last(), tie)).alias("rn"), F.col(label).cast("long").alias("y"))
-    total = ranked.groupBy().agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("p"), *[F.sum(F.when(F.col("rn") <= k, F.col("y"))).alias(f"h{k}") for k in ks])
-    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.coalesce(F.col(f"h{k}"), F.lit(0)).alias("hits")) for k in ks]))
+    """precision, recall and lift among the k rows of highest score; only the best max(ks) rows are sorted."""
+    y = F.col(label).cast("long")
+    best = df.select(F.col(score).alias("s"), F.col(tie).alias("t"), y.alias("y")).orderBy(F.col("s").desc_nulls_last(), "t").limit(max(ks))
+    placed = best.withColumn("rn", F.row_number().over(Window.orderBy(F.col("s").desc_nulls_last(), "t")))
+    hits = placed.groupBy().agg(*[F.coalesce(F.sum(F.when(F.col("rn") <= k, F.col("y"))), F.lit(0)).alias(f"h{k}") for k in ks])
+    total = df.agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("p")).crossJoin(F.broadcast(hits))  # one row each
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"h{k}").alias("hits")) for k in ks]))
     at = total.select("n", "p", rows.alias("e")).select("n", "p", "e.k", "e.hits")
     seen = F.least(F.col("k").cast("long"), F.col("n"))
-    return at.select("k", "hits", (F.col("hits") / F.nullif(seen, F.lit(0))).alias("precision"), (F.col("hits") / F.nullif(F.col("p"), F.lit(0))).alias("recall"), (F.col("hits") / F.nullif(seen, F.lit(0)) / F.nullif(F.col("p") / F.nullif(F.col("n"), F.lit(0)), F.lit(0.0))).alias("lift"))
+    precision = F.col("hits") / F.nullif(seen, F.lit(0))
+    return at.select("k", "hits", precision.alias("precision"), (F.col("hits") / F.nullif(F.col("p"), F.lit(0))).alias("recall"), (precision / F.nullif(F.col("p") / F.nullif(F.col("n"), F.lit(0)), F.lit(0.0))).alias("lift"))
+
+
+def _by_score(df: DataFrame, score: str, label: str) -> DataFrame:
+    """Rows n and positives y of each distinct score, and both summed from the highest score down to it."""
+    per = df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("s")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("y"))
+    return order.running(per, -F.col("s"), ["s"], {"cn": F.col("n"), "cy": F.col("y")})
 
 
 def ranking_metrics(df: DataFrame, score: str, label: str) -> DataFrame:
     """Average precision (steps over distinct scores) and ROC area (mean ranks), from counts by score."""
-    per = df.groupBy(F.col(score).alias("s")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("y"))
-    down = Window.orderBy(F.col("s").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    cum = per.withColumns({"cn": F.sum("n").over(down), "cy": F.sum("y").over(down)})
+    cum = _by_score(df, score, label)
     neg = F.col("n") - F.col("y")
     sums = cum.agg(
         F.sum(F.col("y") * F.col("cy") / F.col("cn")).alias("ap"), F.sum("y").alias("p"), F.sum(neg).alias("q"),
@@ -72,6 +84,28 @@ def ranking_metrics(df: DataFrame, score: str, label: str) -> DataFrame:
     return sums.select((F.col("ap") / F.nullif(F.col("p"), F.lit(0))).alias("average_precision"), (F.col("auc") / F.nullif(F.col("p") * F.col("q"), F.lit(0))).alias("roc_auc"), F.col("p").alias("n_positive"))
 
 
+def precision_recall_curve(df: DataFrame, score: str, label: str) -> DataFrame:
+    """One point for each distinct score taken as threshold: rows at or above it, precision, recall."""
+    cum = _by_score(df, score, label)
+    total = cum.agg(F.sum("y").alias("p"))
+    return cum.crossJoin(F.broadcast(total)).select(F.col("s").alias("threshold"), F.col("cn").alias("n"), (F.col("cy") / F.col("cn")).alias("precision"), (F.col("cy") / F.nullif(F.col("p"), F.lit(0))).alias("recall"))  # total: one row
+
+
+def timing_lift(binned_df: DataFrame, bin_column: str, hit: str, ymd: str, low: int, high: int) -> DataFrame:
+    """For exclusions before, during and after the billing years: hits, their base rate and top-bin lift.
+
+    Only hits of a bucket count as positives there; the last bucket is the nearest to a forecast.
+    """
+    kinds = (f"before_{low}", f"during_{low}_{high}", f"after_{high}")
+    bucket = timing_bucket(F.col(ymd), low, high)
+    top = F.max(bin_column).over(Window.partitionBy())
+    few = binned_df.groupBy(bin_column).agg(F.count(F.lit(1)).alias("n"), *[F.count_if((F.col(hit) == 1) & (bucket == k)).alias(k) for k in kinds]).withColumn("__top", F.col(bin_column) == top)  # one row a bin
+    long = few.select("n", "__top", F.explode(F.array(*[F.struct(F.lit(k).alias("timing"), F.col(k).alias("h")) for k in kinds])).alias("e")).select("n", "__top", "e.timing", "e.h")
+    sums = long.groupBy("timing").agg(F.sum("h").alias("hits"), F.sum("n").alias("n"), F.sum(F.when(F.col("__top"), F.col("h"))).alias("th"), F.sum(F.when(F.col("__top"), F.col("n"))).alias("tn"))
+    base = F.col("hits") / F.nullif(F.col("n"), F.lit(0))
+    return sums.select("timing", "hits", base.alias("base_rate"), (F.col("th") / F.nullif(F.col("tn"), F.lit(0)) / F.nullif(base, F.lit(0.0))).alias("top_lift"))
+
+
 def company_scores(providers: DataFrame) -> DataFrame:
     """Company scores from reliable constituents: max, mean, and mean weighted by positive dollars."""
     ok = F.col("score_reliable")
@@ -92,7 +126,7 @@ def segments(providers: DataFrame) -> DataFrame:
 
 def rank_reliable(providers: DataFrame, score: str = "score", tie: str = "npi") -> DataFrame:
     """Rank among reliable rows only, by score."""
-    ranked = providers.where("score_reliable").withColumn("rank_reliable", F.row_number().over(Window.orderBy(F.col(score).desc(), tie)))
+    ranked = order.ranked(providers.where("score_reliable"), -F.col(score), [tie], "rank_reliable").withColumn("rank_reliable", F.col("rank_reliable").cast("int"))
     return ranked.unionByName(providers.where("not score_reliable").withColumn("rank_reliable", F.lit(None).cast("int")))
 
 

@@ -35,15 +35,25 @@ def by_month(claims: DataFrame, key: str) -> DataFrame:
 
 
 def core(claims: DataFrame, key: str, carried: dict[str, str] | None = None) -> DataFrame:
-    """Lifetime volumes and ratios; ``carried`` maps output names to columns of which the least is kept."""
-    total = claims.groupBy(key).agg(
-        *[F.min(c).alias(name) for name, c in (carried or {}).items()],
-        _gross().alias("gross_paid"), F.sum(_paid()).alias("net_paid"), F.sum(F.when(_paid() < 0, _paid()).otherwise(F.lit(0))).alias("reversal_amount"),
-        F.sum("total_claim_lines").alias("total_claim_lines"), F.sum("total_patients").alias("service_volume"),
-        F.count_distinct("hcpcs_code").alias("n_distinct_hcpcs"), F.count_distinct("service_month").alias("n_active_months"),
-        F.min("service_month").alias("first_month"), F.max("service_month").alias("last_month"),
+    """Lifetime volumes and ratios; ``carried`` maps output names to columns of which the least is kept.
+
+    Codes and months are counted as rows of the sums by (key, code) and (key, month), so no claim
+    is repeated for the distinct counts.
+    """
+    least = {f"__c_{name}": c for name, c in (carried or {}).items()}
+    codes = claims.groupBy(key, "hcpcs_code").agg(
+        *[F.min(c).alias(name) for name, c in least.items()], _gross().alias("g"), F.sum(_paid()).alias("n"), F.sum(F.when(_paid() < 0, _paid()).otherwise(F.lit(0))).alias("r"),
+        F.sum("total_claim_lines").alias("l"), F.sum("total_patients").alias("p"),
     )
-    return with_ratios(total).withColumns({
+    total = codes.groupBy(key).agg(
+        *[F.min(f"__c_{name}").alias(name) for name in carried or {}],
+        F.sum("g").alias("gross_paid"), F.sum("n").alias("net_paid"), F.sum("r").alias("reversal_amount"), F.sum("l").alias("total_claim_lines"), F.sum("p").alias("service_volume"), F.count("hcpcs_code").alias("n_distinct_hcpcs"),
+    )
+    months = claims.groupBy(key, "service_month").agg(F.count(F.lit(1)).alias("__n")).groupBy(F.col(key).alias("__key")).agg(
+        F.count("service_month").alias("n_active_months"), F.min("service_month").alias("first_month"), F.max("service_month").alias("last_month")
+    )
+    met = total.join(months, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
+    return with_ratios(met).withColumns({
         "reversal_ratio": ratio(F.abs("reversal_amount"), F.col("gross_paid")),
         "tenure_months": tenure_months(month_start(F.col("first_month")), month_start(F.col("last_month"))),
     })
@@ -83,18 +93,27 @@ def temporal(months: DataFrame, key: str, cfg: Config = DEFAULT) -> DataFrame:
     )
 
 
-def rate_features(claims: DataFrame, key: str, cfg: Config = DEFAULT) -> DataFrame:
-    """Size-normalised features, the same at provider and company grain."""
-    codes = by_code(claims, key)
-    totals = with_ratios(codes.groupBy(key).agg(
-        F.sum("gross_paid_code").alias("gross_paid"), F.sum("net_paid_code").alias("net_paid"), F.sum("claim_lines").alias("total_claim_lines"), F.sum("patients").alias("service_volume"), F.count("hcpcs_code").alias("n_distinct_hcpcs")
-    ))
-    return totals.join(concentration(codes, key), key, "left").join(temporal(by_month(claims, key), key, cfg).drop("new_biller_surge_onset"), key, "left")
+def rate_features(claims: DataFrame, key: str, cfg: Config = DEFAULT, codes: DataFrame | None = None, months: DataFrame | None = None) -> DataFrame:
+    """Size-normalised features, the same at provider and company grain; by_code() and by_month() sums are reused if given."""
+    codes, months = codes if codes is not None else by_code(claims, key), months if months is not None else by_month(claims, key)
+    g = F.col("gross_paid_code").cast("double")
+    totals = codes.groupBy(key).agg(
+        F.sum("gross_paid_code").alias("gross_paid"), F.sum("net_paid_code").alias("net_paid"), F.sum("claim_lines").alias("total_claim_lines"), F.sum("patients").alias("service_volume"), F.count("hcpcs_code").alias("n_distinct_hcpcs"),
+        F.max(g).alias("__top"), F.sum(g).alias("__g"), F.sum(g * g).alias("__sq"),
+    )
+    wide = with_ratios(totals).withColumns({
+        "top_hcpcs_paid_share": ratio(F.col("__top"), F.col("__g")), "hcpcs_hhi": F.when(F.col("__g") > 0, F.col("__sq") / (F.col("__g") * F.col("__g"))),
+    }).drop("__top", "__g", "__sq")
+    return wide.join(temporal(months, key, cfg).drop("new_biller_surge_onset"), key, "left")
 
 
 def rare_codes(claims: DataFrame, cell: list[str], who: str, cfg: Config = DEFAULT) -> DataFrame:
     """(cell, code) pairs billed by less than the rare share of the cell's ``who``."""
-    pairs = claims.select(*cell, "hcpcs_code", who).distinct()
+    return rare_pairs(claims.select(*cell, "hcpcs_code", who).distinct(), cell, who, cfg)
+
+
+def rare_pairs(pairs: DataFrame, cell: list[str], who: str, cfg: Config = DEFAULT) -> DataFrame:
+    """As rare_codes(), from distinct (cell, code, ``who``): by_code() sums with their cell."""
     of_code = pairs.groupBy(*cell, "hcpcs_code").agg(F.count(who).alias("n_code"))
     of_cell = pairs.select(*cell, who).distinct().groupBy(*cell).agg(F.count(who).alias("n_cell"))
     return of_code.join(of_cell, cell).where((F.col("n_cell") > 0) & (F.col("n_code") / F.col("n_cell") < cfg.rare_share)).select(*cell, "hcpcs_code", F.lit(True).alias("rare"))

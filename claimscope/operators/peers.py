@@ -74,7 +74,7 @@ def _has_taxonomy() -> Column:
 
 def anomaly_v1(df: DataFrame, key: str, cfg: Config = DEFAULT) -> DataFrame:
     """Signals are clipped robust z of 3.5 or more among scorable taxonomy peers; the score sums them."""
-    size = F.count(F.lit(1)).over(Window.partitionBy("primary_taxonomy"))
+    size = F.count(F.lit(1)).over(Window.partitionBy(F.when(_has_taxonomy(), F.col("primary_taxonomy")).otherwise(F.concat(F.lit("|"), F.col(key).cast("string")))))  # rows without a taxonomy stand alone
     sized = df.withColumn("small", _has_taxonomy() & (size < cfg.min_peers))
     scorable = (F.col("gross_paid") > 0) & _has_taxonomy() & ~F.col("small")
     base = sized.withColumn("scorable", scorable).withColumn("reason", not_scored_reason(_has_taxonomy(), F.col("small")))
@@ -89,12 +89,13 @@ def anomaly_v1(df: DataFrame, key: str, cfg: Config = DEFAULT) -> DataFrame:
 
 
 def _peer_sizes(df: DataFrame, base: Column) -> DataFrame:
-    """Adds te_n and tax_n: scorable-base rows in the row's cell and taxonomy."""
-    counted = F.when(base, F.lit(1))
-    return df.withColumns({
-        "te_n": F.count(counted).over(Window.partitionBy("primary_taxonomy", "entity_type")),
-        "tax_n": F.count(counted).over(Window.partitionBy("primary_taxonomy")),
-    })
+    """Adds te_n and tax_n: scorable-base rows in the row's cell and taxonomy; 0 without a taxonomy."""
+    cells = df.where(base).groupBy("primary_taxonomy", "entity_type").agg(F.count(F.lit(1)).alias("te_n"))
+    both = cells.withColumn("tax_n", F.sum("te_n").over(Window.partitionBy("primary_taxonomy")))  # as many rows as cells
+    taxes = both.groupBy(F.col("primary_taxonomy").alias("__t")).agg(F.first("tax_n").alias("tax_n"))
+    side = both.select(F.col("primary_taxonomy").alias("__a"), F.col("entity_type").alias("__b"), "te_n")
+    met = df.join(side, (F.col("primary_taxonomy") == F.col("__a")) & F.col("entity_type").eqNullSafe(F.col("__b")), "left").join(taxes, F.col("primary_taxonomy") == F.col("__t"), "left")
+    return met.select(*df.columns, F.coalesce("te_n", F.lit(0)).alias("te_n"), F.coalesce("tax_n", F.lit(0)).alias("tax_n"))
 
 
 def anomaly_v2(df: DataFrame, key: str, cfg: Config = DEFAULT) -> DataFrame:
@@ -129,7 +130,7 @@ def score_concepts(df: DataFrame, key: str, cfg: Config = DEFAULT) -> DataFrame:
     })
     tax, entity, metric, x = (F.col(c) for c in ("primary_taxonomy", "entity_type", "metric", "x"))
     long = unpivot(placed.where("scorable"), [key, "use_te", "primary_taxonomy", "entity_type"], (*FEATURES, CONTEXT))
-    pct = long.withColumn("te", mean_tie_percentile(x, tax, metric, entity)).withColumn("tx", mean_tie_percentile(x, tax, metric)).withColumn("pct", F.when(F.col("use_te"), F.col("te")).otherwise(F.col("tx")))
+    pct = long.withColumn("tx", mean_tie_percentile(x, tax, metric)).withColumn("te", mean_tie_percentile(x, tax, metric, entity)).withColumn("pct", F.when(F.col("use_te"), F.col("te")).otherwise(F.col("tx")))
     wide = pivot(pct, [key], (*FEATURES, CONTEXT), {"pct": "pct_{}"})
     concepts = wide.select(key, f"pct_{CONTEXT}", *[(F.greatest(*[F.col(f"pct_{f}") for f in fs]) if len(fs) > 1 else F.col(f"pct_{fs[0]}")).alias(c) for c, fs in CONCEPTS.items()])
     extreme = [F.coalesce(F.col(c) >= cfg.extreme_pct, F.lit(False)) for c in CONCEPTS]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimscope.config import DEFAULT, Config
 from claimscope.functions.numbers import ratio
+from claimscope.operators import order
 
 YEAR = ["npi", "year"]
 
@@ -24,17 +25,21 @@ def static(cells_df: DataFrame) -> DataFrame:
 
 def winsorise(df: DataFrame, columns: list[str], low: float = 0.01, high: float = 0.99) -> DataFrame:
     """Clips to exact quantiles of the whole column (one row of bounds)."""
-    bounds = df.agg(*[F.percentile(c, p).alias(f"__{c}{i}") for c in columns for i, p in enumerate((low, high))])
-    wide = df.crossJoin(F.broadcast(bounds))  # bounds: one row
+    wide = df
+    for c in columns:
+        wide = wide.crossJoin(F.broadcast(order.quantiles(df, [], c, {f"__{c}0": low, f"__{c}1": high})))  # bounds: one row
     clip = lambda c: F.when(F.col(c).isNotNull(), F.greatest(F.least(F.col(c), F.col(f"__{c}1")), F.col(f"__{c}0"))).alias(c)
     return wide.select(*[clip(c) if c in columns else F.col(c) for c in df.columns])
 
 
 def peer_ratios(cells_df: DataFrame, providers: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """Claims-weighted geometric means of a provider's rates over those of its specialty for the same code and year."""
+    """Claims-weighted geometric means of a provider's rates over those of its specialty for the same code and year.
+
+    ``cells_df`` has one row for each (npi, year, code), so peers are rows.
+    """
     group = ["taxonomy_code", "year", "hcpcs_code"]
     rated = cells_df.join(providers.where("taxonomy_code is not null"), "npi").withColumns({"paid_rate": ratio(F.col("paid"), F.col("claims")), "claims_rate": ratio(F.col("claims"), F.col("beneficiaries"))})
-    peers = rated.groupBy(*group).agg(F.median("paid_rate").alias("paid_med"), F.median("claims_rate").alias("claims_med"), F.count_distinct("npi").alias("n_peers"))
+    peers = rated.groupBy(*group).agg(F.median("paid_rate").alias("paid_med"), F.median("claims_rate").alias("claims_med"), F.count(F.lit(1)).alias("n_peers"))
     met = rated.join(peers, group)
 
     def mean(kind: str) -> Column:
@@ -57,14 +62,18 @@ def new_code_fraction(cells_df: DataFrame) -> DataFrame:
     return first.groupBy(*YEAR).agg((F.count_if(F.col("first") == F.col("year")) / F.count(F.lit(1))).alias("new_hcpcs_fraction"))
 
 
-def growth_vs_peer(static_df: DataFrame, providers: DataFrame) -> DataFrame:
-    """Growth over the previous observed year less the specialty's median growth, winsorised."""
+def log_growth_vs_peer(static_df: DataFrame, providers: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """Log growth of dollars over the data's previous year, less the specialty's median, winsorised; null among few peers.
+
+    A year without dollars, or with too few for a logarithm, has no growth.
+    """
     years = static_df.select("year").distinct().withColumn("before", F.lag("year").over(Window.orderBy("year")))  # a few years
-    own = static_df.select(*YEAR, F.col("total_paid").cast("double").alias("p"))
+    own = static_df.select(*YEAR, F.col("total_paid").cast("double").alias("p")).where("p <> 0 and p > -1").withColumn("p", F.log1p("p"))
     last = own.select("npi", F.col("year").alias("before"), F.col("p").alias("q"))
-    grown = own.join(F.broadcast(years), "year").join(last, ["npi", "before"]).where("q > 0").withColumn("g", F.expr("p / q - 1")).join(providers, "npi")
-    typical = grown.groupBy("taxonomy_code", "year").agg(F.median("g").alias("m"))
-    return winsorise(grown.join(typical, ["taxonomy_code", "year"]).select(*YEAR, (F.col("g") - F.col("m")).alias("excess_growth")), ["excess_growth"])
+    grown = own.join(F.broadcast(years), "year").join(last, ["npi", "before"]).withColumn("g", F.col("p") - F.col("q")).join(providers.where("taxonomy_code is not null"), "npi")
+    typical = grown.groupBy("taxonomy_code", "year").agg(F.median("g").alias("m"), F.count(F.lit(1)).alias("n"))
+    excess = F.when(F.col("n") >= cfg.yearly_min_peers, F.col("g") - F.col("m"))
+    return winsorise(grown.join(typical, ["taxonomy_code", "year"]).select(*YEAR, excess.alias("excess_yoy_growth")), ["excess_yoy_growth"])
 
 
 def monthly_vectors(monthly: DataFrame) -> DataFrame:

@@ -84,17 +84,19 @@ class Tables:
     def company_map(self) -> DataFrame:
         return companies.link(self.providers()).select("npi", "company_id")
 
-    def _scoring(self, claims: DataFrame, key: str, dims: DataFrame, cell: list[str], who: str) -> DataFrame:
-        """The scoring frame: rate features rounded to 6 places, so ties are ties in any engine."""
-        rates = features.rate_features(claims, key)
-        rare = features.rare_share(features.by_code(claims, key), dims.select(key, F.col("primary_taxonomy").alias("taxonomy_code"), "entity_type"), features.rare_codes(claims, cell, who), cell, key, "rare_share")
+    def _scoring(self, claims: DataFrame, key: str, dims: DataFrame) -> DataFrame:
+        """The scoring frame: rate features rounded to 6 places, so ties are ties in any engine. Claims are summed once by code and once by month."""
+        codes, cell = features.by_code(claims, key), ["taxonomy_code", "entity_type"]
+        rates = features.rate_features(claims, key, codes=codes)
+        places = dims.select(key, F.col("primary_taxonomy").alias("taxonomy_code"), "entity_type")
+        rare = features.rare_share(codes, places, features.rare_pairs(codes.join(places, key), cell, key), cell, key, "rare_share")
         met = rates.join(dims, key).join(rare, key, "left").withColumn("log_max_single_month", log1p_positive(F.col("max_single_month_net_paid")))
         return met.select(*[F.round(F.col(c).cast("double"), 6).alias(c) if t.startswith(("double", "decimal")) else F.col(c) for c, t in met.dtypes])
 
     def provider_scoring(self) -> DataFrame:
         claims = self.claims()
         dims = self.providers().select(F.col("npi").alias("billing_npi"), "primary_taxonomy", "entity_type")
-        return self._scoring(claims, "billing_npi", dims, ["taxonomy_code", "entity_type"], "billing_npi").withColumnRenamed("billing_npi", "npi")
+        return self._scoring(claims, "billing_npi", dims).withColumnRenamed("billing_npi", "npi")
 
     def company_claims(self) -> DataFrame:
         return self.claims().join(self.company_map().withColumnRenamed("npi", "billing_npi"), "billing_npi")
@@ -107,10 +109,7 @@ class Tables:
         return best.select("company_id", F.col("b.taxonomy_code").alias("primary_taxonomy"), F.col("b.entity_type").alias("entity_type"))
 
     def company_scoring(self) -> DataFrame:
-        claims = self.company_claims().drop("taxonomy_code", "entity_type")
-        dims = self.company_dims()
-        placed = claims.join(dims.withColumnRenamed("primary_taxonomy", "taxonomy_code"), "company_id")
-        return self._scoring(placed, "company_id", dims, ["taxonomy_code", "entity_type"], "company_id")
+        return self._scoring(self.company_claims().drop("taxonomy_code", "entity_type"), "company_id", self.company_dims())
 
     def linked(self) -> DataFrame:
         """Linked providers with simple signals, for the company roll-up."""
@@ -134,7 +133,7 @@ class Tables:
         """Organisation-like names from part names and nations, some with screening keywords."""
         p = self.read("part")
         k = F.col("p_partkey")
-        word = F.element_at(F.array(*map(F.lit, ("County of", "Tribal Health", "State University,", "Red Cross of", "Hospital", "the", "L L C", "Inc."))), (k % 8 + 1).cast("int"))
+        word = F.element_at(F.array(*map(F.lit, ("County of", "Tribal Health", "State University,", "Red Cross of", "Hospital", "the", "L L C", "Inc.", "Hospital Service District", "Good Samaritan Society", "Alaska Native", "Kern County"))), (k % 12 + 1).cast("int"))
         code = F.when(k % 31 == 0, "Clinic 261QF0400X").when(k % 29 == 0, "General 282N00000X").otherwise("Home")
         return p.select(k.cast("bigint").alias("id"), F.when(k % 5 == 0, F.concat_ws(" ", word, "p_name")).otherwise(F.concat_ws("  ", "p_name", "p_type", word)).alias("name"), code.alias("specialty"), F.element_at(F.array(*map(F.lit, ("TX", "CA; NY", "tx/ca", ""))), (k % 4 + 1).cast("int")).alias("states"), F.col("p_retailprice").alias("amount"))
 
