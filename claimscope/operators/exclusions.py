@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimscope.functions.names import role_weight
+from claimscope.functions.names import name_key, name_match, role_weight
 
 #: Statuses from mild to severe; fixed values.
 STATUSES = ("before", "reinstated", "waivered", "same_month", "clean_after")
@@ -82,3 +82,19 @@ def facility_flags(matches: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("tier_a"), F.col("role_weight")).otherwise(0.0)).alias("weighted_high"), F.sum(F.when(F.col("tier_b"), F.col("role_weight")).otherwise(0.0)).alias("weighted_probable"),
     )
     return rolled.where("n_high > 0 or n_probable > 0").withColumns({"has_high_excluded_owner": (F.col("n_high") > 0).cast("int"), "has_probable_excluded_owner": (F.col("n_probable") > 0).cast("int")})
+
+
+def case_context(cases: DataFrame, records: DataFrame, providers: DataFrame) -> DataFrame:
+    """Verified cases with their exclusion records' months and types, whether a type is fraud, and how the names agree.
+
+    ``records``: exclusions with npi, excl_month, rein_month, waiver_state, excl_type, entity_name;
+    ``providers``: npi, org_legal_name and further columns. The id decides; names are a check by eye.
+    """
+    listed = lambda c: F.array_join(F.array_sort(F.collect_set(F.nullif(F.trim(F.col(c)), F.lit("")))), "; ")
+    per = records.where("npi is not null").groupBy("npi").agg(
+        listed("excl_month").alias("excl_months"), listed("rein_month").alias("reinstated_months"), listed("waiver_state").alias("waiver_states"), F.count(F.lit(1)).alias("n_records"), listed("excl_type").alias("excl_types"),
+        F.coalesce(F.bool_or(type_key(F.col("excl_type")).isin(*VERIFY_FRAUD_TYPES)), F.lit(False)).alias("fraud_related_type"),
+        F.min_by("entity_name", F.struct(F.coalesce("excl_month", F.lit("9999-99")), "entity_name")).alias("listed_name"),
+    )
+    met = cases.join(per, "npi", "left").join(providers, "npi", "left")
+    return met.withColumn("name_match", name_match(name_key(F.col("org_legal_name")), name_key(F.col("listed_name"))))

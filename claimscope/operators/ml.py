@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimscope.config import DEFAULT, Config
@@ -61,8 +62,12 @@ def isolation_forest(df: DataFrame, key: str, features: list[str], trees: int =
     own bound; all rows are scored by executors.
     """
     x = [F.coalesce(F.when(~F.isnan(F.col(f).cast("double")), F.col(f).cast("double")), F.lit(fill)).alias(f) for f in features]
-    ready = df.select(key, *x)
-    drawn = ready.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(trees * sample).select(*features).toPandas().to_numpy(float)
+    ready = df.select(key, *x).persist()  # counted, drawn from and scored
+    # the least hashes: below a threshold that holds about twice as many, so only those are sorted
+    draw, most = F.xxhash64(F.col(key), F.lit(seed)), trees * sample
+    share = min(1.0, 2 * most / max(ready.count(), 1))
+    least = ready.where(draw <= int((share * 2 - 1) * (2**63 - 1))) if share < 1 else ready
+    drawn = least.orderBy(draw, key).limit(most).select(*features).toPandas().to_numpy(float)
     rng = np.random.default_rng(seed)
     size = min(sample, len(drawn))
     limit = int(np.ceil(np.log2(max(size, 2))))
@@ -137,3 +142,15 @@ def describe(scored: DataFrame, frame: DataFrame, key: str, features: list[str],
     best = F.filter(F.slice(F.array_sort(parts), 1, top), lambda x: x["i"] > 0)
     text = F.transform(best, lambda x: F.concat(x["f"], F.lit(" "), x["d"], F.lit(" ("), F.bround(x["i"] * 100).cast("int").cast("string"), F.lit("%)")))
     return met.withColumn("description", F.array_join(text, "; ")).select(*scored.columns, "description")
+
+
+def importances(model: PipelineModel, names: list[str]) -> DataFrame:
+    """feature, gain (normalised) and splits of a fitted boosted model, by gain; one row a feature."""
+    boosted = model.stages[-1]
+    gain = boosted.featureImportances.toArray()
+    splits = [0] * len(names)
+    for tree in boosted.trees:
+        for found in re.findall(r"If \(feature (\d+) ", tree.toDebugString):
+            splits[int(found)] += 1
+    rows = [(n, float(g), s) for n, g, s in zip(names, gain, splits)]
+    return SparkSession.active().createDataFrame(sorted(rows, key=lambda r: (-r[1], r[0])), "feature string, gain double, splits long")

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimscope.config import DEFAULT
-from claimscope.functions import dates, ids, names, numbers, screening
-from claimscope.operators import attribution, companies, evaluation, exclusions, features, ml, peers, yearly
+from claimscope.functions import dates, ids, lookups, names, numbers, screening
+from claimscope.operators import attribution, companies, evaluation, exclusions, features, history, leads, ml, peers, yearly
+from claimscope.operators import coverage as uncovered
 from claimscope.operators import screening as screens
 from claimscope.plans.adapter import CARRIED, CEILING, Tables
 from claimscope.plans.sql import pct, with_views
@@ -162,12 +164,12 @@ def company_base(t: Tables) -> DataFrame:
     return t.company_claims().groupBy("company_id").agg(F.count_distinct("billing_npi").alias("n_npi"), F.count(F.lit(1)).alias("n_rows"), F.sum("total_paid").alias("paid"))
 
 
-@query("prates,core,excl", f"npi primary_taxonomy {RATES} rare_share:d n_active_months:i provider_on_leie", "select r.*, r.k as npi, c.primary_taxonomy, c.n_active_months, r.k in (select npi from excl) as provider_on_leie from prates r join core c on r.k = c.npi")
+@query("prates,core,excl", f"npi primary_taxonomy {RATES} rare_share:d log_max_single_month:d n_active_months:i provider_on_leie", "select r.*, r.k as npi, c.primary_taxonomy, c.n_active_months, r.k in (select npi from excl) as provider_on_leie from prates r join core c on r.k = c.npi")
 def provider_features(t: Tables) -> DataFrame:
     core = features.core(t.claims(), "billing_npi").select(F.col("billing_npi").alias("npi"), "n_active_months")
     listed = t.exclusions().select("npi", F.lit(True).alias("on")).distinct()
     met = t.provider_scoring().join(core, "npi", "left").join(listed, "npi", "left").withColumn("provider_on_leie", F.coalesce("on", F.lit(False)))
-    return met.drop("on", "log_max_single_month", "entity_type")
+    return met.drop("on", "entity_type")
 
 
 # peers and scoring
@@ -456,26 +458,173 @@ def topk_companies(t: Tables) -> DataFrame:
     return companies.top(t.companies().withColumn("score", F.col("max_anomaly_score")), 50, replace(DEFAULT, min_net_paid=1e6)).select("company_id", "score", "company_net_paid")
 
 
-# screening
+@query("linked", "company_id top_npi top_net_paid:d resolved_name dominant_taxonomy", """
+    with top as (select company_id, npi, net_paid, k, org_legal_name from (select *, row_number() over (partition by company_id order by net_paid desc, npi desc) as rn from linked) where rn = 1),
+      tax as (select company_id, primary_taxonomy from (select company_id, primary_taxonomy, row_number() over (partition by company_id order by sum(net_paid) desc, primary_taxonomy desc) as rn from linked group by company_id, primary_taxonomy) where rn = 1)
+    select t.company_id, npi as top_npi, net_paid as top_net_paid, case when k % 4 = 0 then 'Dr ' || npi else org_legal_name end as resolved_name, primary_taxonomy as dominant_taxonomy from top t left join tax using (company_id)""")
+def company_lookups(t: Tables) -> DataFrame:
+    k = F.col("npi").cast("bigint")
+    known = t.linked().select("npi", F.when(k % 4 == 0, F.concat(F.lit("Dr "), "npi")).otherwise("").alias("provider_name"))
+    return leads.company_lookups(t.linked(), known)
 
 
-def _rules_sql(rules, text: str) -> str:
-    out = []
-    for label, words in rules:
-        hit = rf"regexp_matches({text}, '\b(?:{'|'.join(words)})\b')"
-        out.append(f"when {hit}" + (rf" or regexp_matches({text}, '\bCOUNTY$')" if label == "government" else "") + f" then '{label}'")
-    return " ".join(out)
+@query("track", "company_id reasons", r"""select company_id, concat_ws('. ', case left(priority_tier, 1)
+      when '1' then 'Billed while excluded — a constituent NPI billed on or after its OIG LEIE exclusion date ($' || format('{:,}', round_even(paid_after, 0)::bigint) || ' billed after exclusion)'
+      when '2' then 'A constituent NPI is on the OIG LEIE exclusion list' when '3' then 'Company-level billing anomaly vs. company peers (score ' || format('{:.2f}', max_anomaly_score) || ')'
+      when '4' then 'A facility has a probable excluded owner (low-confidence name match)' end,
+    case when member and left(priority_tier, 1) <> '1' then 'company anomaly: temporal at ≥99th percentile vs peers' end,
+    case when fragmentation_signal and max_constituent_net_paid / nullif(company_net_paid, 0) < 0.5 then 'billing is genuinely fragmented across NPIs (possible split-billing — no single NPI was flagged, but the company is extreme consolidated)' end,
+    case when any_provider_on_leie and left(priority_tier, 1) > '2' then 'also has an NPI on the OIG LEIE list' end,
+    case when any_probable_excluded_owner and left(priority_tier, 1) <> '4' then 'also has a probable excluded owner' end) || '.' as reasons from track""")
+def company_reasons(t: Tables) -> DataFrame:
+    why = F.when(F.col("anomaly_tier_member"), F.array(F.lit("temporal(pct=0.999)"), F.lit("log_max_single_month(pct=1.000,context)")))
+    return companies.triage(t.tracked()).withColumn("contributing_concepts", why).select("company_id", leads.sentence().alias("reasons"))
 
 
-_ALNUM = "trim(regexp_replace(upper(name), '[^A-Z0-9]+', ' ', 'g'))"
+@query("track", "priority_tier n:i paid:d", "select priority_tier, count(*) as n, sum(company_net_paid) as paid from track group by 1")
+def tier_counts(t: Tables) -> DataFrame:
+    from claimscope.plans.stages import tier_counts as counted
+
+    return counted(t.tracked())
+
+
+_PROJECTED = """select npi, case when k % 3 = 0 then 'Dr ' || npi else org_legal_name end as provider_name, case entity_type when '1' then 'individual' else 'organization' end as entity_type, primary_taxonomy, '' as taxonomy_description,
+    practice_state as state, case when k % 100 = 0 then '1_L1_billed_after_exclusion' when k % 50 = 0 then '3_L1_excluded_after_billing' when k % 13 = 0 then '4_L2_anomaly' when k % 41 = 0 then '5_L3_probable_owner' else '6_none' end as priority_tier,
+    net_paid, on_leie as provider_on_leie, baf as billed_after_exclusion, case when k % 70 = 0 then 'QUALIFIED' end as layer1_disposition, case when k % 70 = 0 then k::double end as paid_after, round(score, 4) as anomaly_score, n_sig as n_concept_signals,
+    case when k % 13 = 0 then 'temporal; concentration' else '' end as contributing_concepts, own_flag as probable_excluded_owner,
+    concat_ws(' | ', case when k % 100 = 0 then 'billed' end, case when k % 13 = 0 then 'temporal; concentration' end, case when own_flag then 'probable_excluded_owner' end) as reasons from linked"""
+_PROJECTED_COLUMNS = "npi provider_name entity_type primary_taxonomy taxonomy_description state priority_tier net_paid:d provider_on_leie billed_after_exclusion layer1_disposition paid_after:d anomaly_score:d n_concept_signals:i contributing_concepts probable_excluded_owner reasons"
+
+
+def _projected(t: Tables) -> DataFrame:
+    k, none = F.col("npi").cast("bigint"), F.array().cast("array<string>")
+    rank = F.when(k % 100 == 0, 0).when(k % 50 == 0, 2).when(k % 13 == 0, 3).when(k % 41 == 0, 4).otherwise(5)
+    tier = F.element_at(F.array(*map(F.lit, peers.TIERS)), rank + 1)
+    ready = t.linked().withColumns({
+        "priority_tier": tier, "priority_rank": rank + 1, "rule_reasons": F.when(k % 100 == 0, F.array(F.lit("billed"))).otherwise(none), "contributing_concepts": F.when(k % 13 == 0, F.array(F.lit("temporal"), F.lit("concentration"))).otherwise(none),
+    })
+    known = t.linked().where(k % 3 == 0).select("npi", F.concat(F.lit("Dr "), "npi").alias("provider_name"))
+    cases = t.linked().where(k % 70 == 0).select("npi", F.lit("QUALIFIED").alias("disposition"), k.cast("double").alias("paid_after"))
+    return leads.provider_leads(ready, known, cases)
+
+
+@query("linked", _PROJECTED_COLUMNS, f"select * from ({_PROJECTED}) where priority_tier <> '6_none' and net_paid >= 500000")
+def final_leads(t: Tables) -> DataFrame:
+    from dataclasses import replace
 
+    return leads.final_leads(_projected(t), replace(DEFAULT, min_net_paid=5e5)).drop("priority_rank")
 
-@query("names", "id lead_class advert_class", f"select id, case when specialty like '%261QF0400X%' then 'fqhc_taxonomy' when specialty like '%282N00000X%' then 'hospital_taxonomy' {_rules_sql(screening.LEAD_RULES, 'n')} end as lead_class, case {_rules_sql(screening.ADVERT_RULES, 'n')} end as advert_class from (select *, {_ALNUM} as n from names)")
+
+@query("linked", _PROJECTED_COLUMNS, f"select * from ({_PROJECTED}) where left(priority_tier, 1) = '1' or layer1_disposition = 'QUALIFIED'")
+def excluded_leads(t: Tables) -> DataFrame:
+    return leads.excluded_leads(_projected(t)).drop("priority_rank")
+
+
+@query("linked", "kind n:i", f"select kind, count(*) as n from ({_PROJECTED}), unnest(['fraud_leads', 'leads_ranked', 'layer1_rule_hits', 'layer3_ownership_leads']) u(kind) where kind = 'fraud_leads' or (kind = 'leads_ranked' and left(priority_tier, 1) <= '5') or (kind = 'layer1_rule_hits' and left(priority_tier, 1) <= '3') or (kind = 'layer3_ownership_leads' and probable_excluded_owner) group by kind")
+def flat_lead_files(t: Tables) -> DataFrame:
+    met = _projected(t)
+    return reduce(DataFrame.unionByName, [met.where(keep).agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), "n") for kind, keep in leads.lead_kinds().items()])
+
+
+# screening
+
+
+_ALNUM = "trim(regexp_replace(upper(name), '[^A-Z0-9]+', ' ', 'g'))"
+# The SQL of the screens is written out here, apart from the library's lists.
+_CLASSES = r"""
+    case when specialty like '%261QF0400X%' then 'fqhc_taxonomy' when specialty like '%282N00000X%' then 'hospital_taxonomy'
+      when regexp_matches(n, '\b(COUNTY OF|CITY OF|STATE OF|COMMONWEALTH OF|TOWN OF|VILLAGE OF|BOROUGH OF|PARISH OF|DEPARTMENT OF|DEPT OF|BOARD OF|HOSPITAL DISTRICT|HEALTH DISTRICT|HEALTHCARE DISTRICT|HEALTH AUTHORITY|HOSPITAL AUTHORITY|PUBLIC HEALTH|MUNICIPAL|HEALTH AND HOSPITALS|HOSPITAL SERVICE DISTRICT|HEALTH CARE DISTRICT|HEALTHCARE AUTHORITY|MEDICAL CENTER AUTHORITY|SERVICE DISTRICT NO)\b') or regexp_matches(n, '\bCOUNTY$') then 'government'
+      when regexp_matches(n, '\b(TRIBE|TRIBAL|RANCHERIA|PUEBLO|NATION|BAND OF|NATIVE AMERICAN|INDIAN HEALTH|INDIAN NATION|INDIAN TRIBE|REGIONAL HEALTH CONSORTIUM|NATIVE ASSOCIATION|ALASKA NATIVE)\b') then 'tribal'
+      when regexp_matches(n, '\b(UNIVERSITY|REGENTS OF|BOARD OF REGENTS|STATE COLLEGE|COLLEGE OF MEDICINE)\b') then 'public_academic'
+      when regexp_matches(n, '\b(VOLUNTEERS OF AMERICA|SALVATION ARMY|GOODWILL|CATHOLIC CHARITIES|EASTERSEALS|EASTER SEALS|SHRINERS|BANCROFT|MELMARK|THE ARC|ARC OF|UNITED WAY|YMCA|YWCA|RED CROSS|LUTHERAN SOCIAL SERVICES|JEWISH FAMILY|ST JUDE|BOYS AND GIRLS|BOYS GIRLS CLUB)\b') then 'national_nonprofit'
+      when regexp_matches(n, '\b(HOSPITAL|MEDICAL CENTER|MED CENTER|MED CTR|INFIRMARY|HEALTH SYSTEM|HEALTHCARE SYSTEM|HEALTH NETWORK|CLINIC FOUNDATION|ASCENSION|PROVIDENCE HEALTH|TRINITY HEALTH|ADVENTIST|CATHOLIC HEALTH|DIGNITY HEALTH|COMMONSPIRIT|KAISER|MAYO CLINIC|CLEVELAND CLINIC|INTERMOUNTAIN|SUTTER|GEISINGER|OCHSNER|BANNER HEALTH)\b') then 'hospital_name' end as lead_class,
+    case when regexp_matches(n, '\b(LABORATORY CORPORATION OF AMERICA|LABCORP|QUEST DIAGNOSTICS)\b') then 'labs'
+      when regexp_matches(n, '\b(PUBLIC PARTNERSHIPS|CONSUMER DIRECT CARE|ACUMEN FISCAL|GT INDEPENDENCE|TEMPUS UNLIMITED|PALCO|MORNING SUN FINANCIAL|ANNKISSAM|FISCAL)\b') then 'fiscal_intermediary'
+      when regexp_matches(n, '\b(COUNTY OF|CITY OF|CITY AND COUNTY OF|STATE OF|COMMONWEALTH OF|TOWN OF|VILLAGE OF|BOROUGH OF|PARISH OF|DEPARTMENT OF|DEPT OF|BOARD OF|HOSPITAL DISTRICT|HEALTH DISTRICT|HEALTHCARE DISTRICT|HEALTH AUTHORITY|HOSPITAL AUTHORITY|PUBLIC HEALTH|MUNICIPAL|HEALTH AND HOSPITALS)\b') then 'government'
+      when regexp_matches(n, '\b(TRIBE|TRIBAL|RANCHERIA|PUEBLO|NATION|BAND OF|NATIVE AMERICAN|INDIAN HEALTH|INDIAN NATION|INDIAN TRIBE)\b') then 'tribal'
+      when regexp_matches(n, '\b(UNIVERSITY|REGENTS OF|BOARD OF REGENTS|STATE COLLEGE|COLLEGE OF MEDICINE)\b') then 'public_academic'
+      when regexp_matches(n, '\b(VOLUNTEERS OF AMERICA|SALVATION ARMY|GOODWILL|CATHOLIC CHARITIES|EASTERSEALS|EASTER SEALS|SHRINERS|BANCROFT|MELMARK|THE ARC|ARC OF|UNITED WAY|YMCA|YWCA|RED CROSS|LUTHERAN SOCIAL SERVICES|GOOD SAMARITAN SOCIETY|EVANGELICAL LUTHERAN|JEWISH FAMILY|ST JUDE|BOYS AND GIRLS|BOYS GIRLS CLUB)\b') then 'national_nonprofit'
+      when regexp_matches(n, '\bCOUNTY$') then 'government' end as advert_class"""
+
+
+@query("names", "id lead_class advert_class", f"select id, {_CLASSES} from (select *, {_ALNUM} as n from names)")
 def keyword_classify(t: Tables) -> DataFrame:
     n = F.col("name")
     return t.names().select("id", screening.lead_class(n, F.col("specialty")).alias("lead_class"), screening.advert_class(n).alias("advert_class"))
 
 
+_ADVERT = """
+    select company_id, states as states_all, case when any_provider_on_leie or max_anomaly_score >= 0.9 then 'high' when max_anomaly_score >= 0.8 then 'medium' else 'low' end as lead_strength,
+      case when row_number() over w > 1 then 'duplicate' end as reason, case when row_number() over w > 1 then first(company_name) over w end as matched
+    from (select * replace (replace(company_name, 'NATION', 'LAND') as company_name) from comp) where company_net_paid >= 1000000 and (max_anomaly_score >= 0.7 or any_provider_on_leie)
+    window w as (partition by trim(regexp_replace(upper(company_name), '[^A-Z0-9]+', ' ', 'g')), string_split(states, '; ')[1] order by any_provider_on_leie desc, max_anomaly_score desc, company_net_paid desc, company_id)"""
+
+
+@query("comp", "company_id states_all lead_strength reason matched", _ADVERT)
+def advert_selection(t: Tables) -> DataFrame:
+    from dataclasses import replace
+
+    named = t.companies().withColumn("company_name", F.replace("company_name", F.lit("NATION"), F.lit("LAND")))  # NATION is a keyword of the screen
+    return leads.advert_selection(named, replace(DEFAULT, min_net_paid=1e6)).select("company_id", "states_all", "lead_strength", "reason", "matched")
+
+
+@query("names", "id states_all", "select id, case states when 'TX' then 'Texas' when 'CA; NY' then 'California; New York' when 'tx/ca' then 'Texas; California' else '' end as states_all from names")
+def full_states(t: Tables) -> DataFrame:
+    return t.names().select("id", F.array_join(lookups.full_states(F.col("states")), "; ").alias("states_all"))
+
+
+@query("", "id specialty lead_specialty", """select id, coalesce(name, 'Unknown / not in crosswalk') as specialty, case when code = '' then '' else coalesce(name, code || ' (taxonomy code)') end as lead_specialty from (
+    select p_partkey::bigint as id, ['207Q00000X', '163W00000X', '999X00000X', '', '314000000X'][p_partkey % 5 + 1] as code, ['Family Medicine', 'Registered Nurse', null, null, 'Skilled Nursing Facility'][p_partkey % 5 + 1] as name from part)""")
+def specialties(t: Tables) -> DataFrame:
+    code = F.element_at(F.array(*map(F.lit, ("207Q00000X", "163W00000X", "999X00000X", "", "314000000X"))), (F.col("p_partkey") % 5 + 1).cast("int"))
+    return t.read("part").select(F.col("p_partkey").cast("bigint").alias("id"), lookups.specialty(code).alias("specialty"), lookups.lead_specialty(code).alias("lead_specialty"))
+
+
+@query("", "id malformed", "select p_partkey::bigint as id, not regexp_full_match(case p_partkey % 3 when 0 then lpad(p_partkey::varchar, 5, '0') when 1 then 'A' || right(lpad(p_partkey::varchar, 4, '0'), 4) else p_partkey || 'X' end, '[0-9]{5}|[A-Za-z][0-9]{4}') as malformed from part")
+def billing_code_format(t: Tables) -> DataFrame:
+    k, text = F.col("p_partkey"), F.col("p_partkey").cast("string")
+    code = F.when(k % 3 == 0, F.lpad(text, 5, "0")).when(k % 3 == 1, F.concat(F.lit("A"), F.right(F.lpad(text, 4, "0"), F.lit(4)))).otherwise(F.concat(text, F.lit("X")))
+    return t.read("part").select(k.cast("bigint").alias("id"), ids.malformed_code(code).alias("malformed"))
+
+
+@query("", "id name_match", """select id, case when a = '' or b = '' then 'unknown' when a = b then 'exact' when len(list_intersect(string_split(a, ' '), string_split(b, ' '))) > 0 then 'partial' else 'mismatch' end as name_match
+    from (select p_partkey::bigint as id, p_name as a, case p_partkey % 4 when 0 then '' when 1 then p_name when 2 then 'x ' || string_split(p_name, ' ')[1] else 'nothing alike' end as b from part)""")
+def name_match(t: Tables) -> DataFrame:
+    k, a = F.col("p_partkey"), F.col("p_name")
+    b = F.when(k % 4 == 0, "").when(k % 4 == 1, a).when(k % 4 == 2, F.concat(F.lit("x "), F.split(a, " ")[0])).otherwise("nothing alike")
+    return t.read("part").select(k.cast("bigint").alias("id"), names.name_match(a, b).alias("name_match"))
+
+
+# coverage of claims without a provider
+
+_LOST = f"lost as (select raw, ok, hcpcs_code, total_paid from (select *, {_NPI_OK} as ok from (select (c_custkey + 1000000000)::varchar as raw, c_custkey as k, hcpcs_code, total_paid from claims)) where not (ok and k % 20 <> 0))"
+
+
+def _unmatched(t: Tables) -> DataFrame:
+    return attribution.attribute(t.raw_claims(), t.registry())
+
+
+@query("claims", "bucket distinct_ids:i n_rows:i paid:d paid_share:d", f"with {_LOST} select case when ok then 'valid_not_registered' else 'failed_luhn' end as bucket, count(distinct raw) as distinct_ids, count(*) as n_rows, sum(total_paid) as paid, sum(total_paid)::double / (select sum(total_paid)::double from lost) as paid_share from lost group by 1")
+def coverage_buckets(t: Tables) -> DataFrame:
+    return uncovered.bucket_shares(uncovered.unmatched_ids(_unmatched(t)))
+
+
+@query("claims", "hcpcs_code n_rows:i paid:d paid_share:d", f"with {_LOST} select hcpcs_code, count(*) as n_rows, sum(total_paid) as paid, sum(total_paid)::double / (select sum(total_paid)::double from lost) as paid_share from lost group by 1 order by paid desc, hcpcs_code limit 25")
+def coverage_codes(t: Tables) -> DataFrame:
+    return uncovered.code_shares(_unmatched(t))
+
+
+@query("claims", "ambiguous_share:d segregate", f"with {_LOST} select s as ambiguous_share, s < 0.01 as segregate from (select coalesce(sum(total_paid::double) filter (where ok), 0) / sum(total_paid)::double as s from lost)")
+def coverage_ambiguity(t: Tables) -> DataFrame:
+    return uncovered.ambiguity(uncovered.bucket_shares(uncovered.unmatched_ids(_unmatched(t))))
+
+
+@query("claims", "n_ids:i n_rows:i paid:d paid_share:d", f"with {_LOST} select count(distinct raw) filter (where not ok) as n_ids, count(*) filter (where not ok) as n_rows, sum(total_paid) filter (where not ok) as paid, (sum(total_paid) filter (where not ok))::double / sum(total_paid)::double as paid_share from lost")
+def quarantine_accounting(t: Tables) -> DataFrame:
+    bad = attribution.quarantine(t.raw_claims(), "billing_npi_raw", "spending_billing")
+    return uncovered.quarantine_accounting(uncovered.unmatched_ids(_unmatched(t)), bad)
+
+
 @query("names", "id occurrence:i first_name", f"select id, row_number() over w as occurrence, first(name) over w as first_name from (select *, {_ALNUM} as n from names) window w as (partition by n, states order by amount desc, id)")
 def dedupe_with_audit(t: Tables) -> DataFrame:
     ready = t.names().withColumn("n", names.spaced_alnum(F.col("name"))).withColumn("o", -F.col("amount"))
@@ -515,12 +664,6 @@ def new_code_fraction(t: Tables) -> DataFrame:
     return yearly.new_code_fraction(t.coarse_monthly())
 
 
-@query("coarse", "npi year:i excess_growth:d", """select npi, year, greatest(least(e, quantile_cont(e, 0.99) over ()), quantile_cont(e, 0.01) over ()) as excess_growth from (select npi, year, g - median(g) over (partition by tax, year) as e from (
-    select a.npi, a.year, a.tax, a.p / b.p - 1 as g from (select npi, year, tax, sum(paid)::double as p from coarse group by all) a join (select npi, year, sum(paid)::double as p from coarse group by all) b on a.npi = b.npi and b.year = a.year - 1 where b.p > 0))""")
-def growth_vs_peer(t: Tables) -> DataFrame:
-    return yearly.growth_vs_peer(yearly.static(t.coarse_monthly()), t.taxonomy())
-
-
 _VECTOR = ", ".join(f"greatest(sum(case when month_num = {i} then paid else 0 end), 0)::double as p{i}" for i in range(1, 13)) + ", " + ", ".join(f"greatest(sum(case when month_num = {i} then claims else 0 end), 0)::double as c{i}" for i in range(1, 13))
 _P = "[" + ", ".join(f"p{i}" for i in range(1, 13)) + "]"
 
@@ -545,6 +688,52 @@ def onset_slope(t: Tables) -> DataFrame:
     return yearly.onset_slope(t.monthly())
 
 
+@query("coarse", "npi year:i excess_yoy_growth:d", """select npi, year, greatest(least(e, quantile_cont(e, 0.99) over ()), quantile_cont(e, 0.01) over ()) as excess_yoy_growth from (select npi, year, case when count(*) over g >= 20 then x - median(x) over g end as e from (
+    select a.npi, a.year, a.tax, ln(a.p + 1) - ln(b.p + 1) as x from (select npi, year, tax, sum(paid)::double as p from coarse group by all) a join (select npi, year, sum(paid)::double as p from coarse group by all) b on a.npi = b.npi and b.year = a.year - 1
+    where a.p <> 0 and b.p <> 0 and a.p > -1 and b.p > -1) window g as (partition by tax, year))""")
+def growth_vs_peer(t: Tables) -> DataFrame:
+    return yearly.log_growth_vs_peer(yearly.static(t.coarse_monthly()), t.taxonomy())
+
+
+def _year_months(t: Tables) -> DataFrame:
+    return history.monthly(history.qualifying(t.claims().withColumnRenamed("billing_npi", "npi"), 500_000))
+
+
+_QUAL = "q as (select * from claims where billing_npi in (select billing_npi from claims group by 1 having sum(total_paid) > 500000))"
+
+
+@query("claims", "npi service_year claims:i beneficiaries:i paid:d", f"with {_QUAL} select billing_npi as npi, left(service_month, 4) as service_year, sum(total_claim_lines) as claims, sum(total_patients) as beneficiaries, sum(total_paid) as paid from q group by 1, 2")
+def provider_annual(t: Tables) -> DataFrame:
+    return history.annual(_year_months(t))
+
+
+_FACTS = f"""with {_QUAL}, p as (select billing_npi as npi, count(distinct hcpcs_code) as n_distinct_hcpcs, sum(total_claim_lines) as total_claims, sum(total_patients) as total_beneficiaries, sum(total_paid) as total_paid, count(distinct service_month) as n_active_months,
+      (min(service_month) || '-01')::date as first_billing_month, (max(service_month) || '-01')::date as last_billing_month from q group by 1),
+    f as (select npi, min(excl_date) as d from excl group by 1)
+    select npi, n_distinct_hcpcs, total_claims, total_beneficiaries, total_paid, n_active_months, first_billing_month, last_billing_month, first_billing_month = (select min(first_billing_month) from p) as left_censored, f.d is not null as in_leie,
+      case when npi::bigint % 20 <> 0 then greatest(0, first_billing_month - (date '1991-01-01' + (npi::bigint % 2000)::int)) end as npi_age_days_at_first_claim,
+      coalesce((last_billing_month > case when npi::bigint % 20 <> 0 and npi::bigint % 7 = 0 then date '1998-01-01' end)::int, 0) as billing_on_deactivated_npi, strptime(f.d, '%Y%m%d')::date as excl_date from p left join f using (npi)"""
+
+
+def _facts(t: Tables) -> DataFrame:
+    k = F.col("c_custkey")
+    registry = t.read("customer").where(k % 20 != 0).select(k.cast("string").alias("npi"), F.date_add(F.lit("1991-01-01").cast("date"), (k % 2000).cast("int")).alias("enumerated"), F.when(k % 7 == 0, F.lit("1998-01-01").cast("date")).alias("deactivated"))
+    listed = t.exclusions().select("npi", F.to_date("excl_date", "yyyyMMdd").alias("excl_date"), F.when(F.col("npi").cast("bigint") % 150 == 0, F.date_add(F.to_date("excl_date", "yyyyMMdd"), 365)).alias("reinstate_date"), "excl_type")
+    return history.enriched(history.summary(_year_months(t)), registry, listed)
+
+
+@query("claims,excl", "npi n_distinct_hcpcs:i total_claims:i total_beneficiaries:i total_paid:d n_active_months:i first_billing_month last_billing_month left_censored in_leie npi_age_days_at_first_claim:i billing_on_deactivated_npi:i excl_date", _FACTS)
+def provider_facts(t: Tables) -> DataFrame:
+    return _facts(t).drop("enumerated", "deactivated", "reinstate_date", "excl_type")
+
+
+@query("claims,excl", "npi year:i is_excluded:i", f"""select npi, y as year, coalesce((excl_date <= make_date(y, 12, 31) and (npi::bigint % 150 <> 0 or excl_date + 365 > make_date(y, 12, 31)))::int, 0) as is_excluded
+    from ({_FACTS}), unnest([1996, 1997, 1998, 1999, 2000]) u(y)""")
+def excluded_at_year_end(t: Tables) -> DataFrame:
+    years = F.explode(F.array(*map(F.lit, (1996, 1997, 1998, 1999, 2000)))).alias("year")
+    return _facts(t).select("npi", "excl_date", "reinstate_date", years).select("npi", "year", history.excluded_at_year_end(F.col("year")).alias("is_excluded"))
+
+
 # evaluation
 
 
@@ -591,6 +780,49 @@ def score_segments(t: Tables) -> DataFrame:
     return evaluation.rank_reliable(evaluation.segments(t.scored())).select("npi", "segment", "score_reliable", "rank_reliable")
 
 
+@query("scored", "threshold:d n:i precision:d recall:d", """select score as threshold, cn as n, cy / cn::double as precision, cy / (select sum(label) from scored)::double as recall
+    from (select score, sum(y) over (order by score desc) as cy, sum(n) over (order by score desc) as cn from (select score, count(*) as n, sum(label) as y from scored group by score))""")
+def precision_recall_curve(t: Tables) -> DataFrame:
+    return evaluation.precision_recall_curve(t.scored(), "score", "label")
+
+
+@query("scored", "timing hits:i base_rate:d top_lift:d", f"""select kind as timing, sum(h) as hits, sum(h) / count(*)::double as base_rate, (sum(h) filter (where d = 10) / count(*) filter (where d = 10)::double) / nullif(sum(h) / count(*)::double, 0) as top_lift
+    from (select kind, d, (label = 1 and kind = case when y < 2018 then 'before_2018' when y > 2024 then 'after_2024' else 'during_2018_2024' end)::int as h
+      from (select label, 2015 + npi::bigint % 13 as y, {_bin_sql('score, npi', 10)} as d from scored), unnest(['before_2018', 'during_2018_2024', 'after_2024']) u(kind)) group by kind""")
+def timing_lift(t: Tables) -> DataFrame:
+    dated = t.scored().withColumn("ymd", F.concat((F.lit(2015) + F.col("npi").cast("bigint") % 13).cast("string"), F.lit("0101")))
+    return evaluation.timing_lift(evaluation.binned(dated, "score", "npi", "score_decile"), "score_decile", "label", "ymd", *DEFAULT.billing_years)
+
+
+@query("scored", "billing_decile:i n:i hits:i rate:d lift:d", f"select billing_decile, count(*) as n, sum(label) as hits, avg(label) as rate, avg(label) / (select avg(label) from scored) as lift from (select label, {_bin_sql('net_paid, npi', 10)} as billing_decile from scored) group by 1")
+def billing_lift(t: Tables) -> DataFrame:
+    return evaluation.lift_table(evaluation.binned(t.scored(), "net_paid", "npi", "billing_decile"), "billing_decile", "label")
+
+
+_MODEL_LEADS = """select *, row_number() over (order by max_score desc, company_net_paid desc, company_id) as rank from (
+    select s.company_id, max(s.score) filter (where not not_scored) as max_score, sum(s.net_paid) as company_net_paid, string_agg(s.npi, '|' order by s.score desc, s.npi) filter (where not not_scored) as npi_list,
+      coalesce(case when min(l.k) % 2 = 0 then min(l.org_legal_name) end, arg_max(l.org_legal_name, s.score - s.npi::bigint * 1e-12) filter (where not not_scored)) as company_name,
+      arg_max(l.primary_taxonomy, s.net_paid) filter (where not not_scored) as specialty_code from scored s join linked l on l.npi = s.npi group by s.company_id)
+    where company_net_paid >= 1000000 and max_score >= 0.2 order by rank limit 100"""
+
+
+@query("scored,linked", "rank:i company_id company_name max_score:d company_net_paid:d npi_list specialty_code", _MODEL_LEADS)
+def model_leads(t: Tables) -> DataFrame:
+    from dataclasses import replace
+
+    members = evaluation.segments(t.scored()).join(t.linked().select("npi", "org_legal_name", "primary_taxonomy"), "npi")
+    named = members.groupBy("company_id").agg(F.min(F.col("npi").cast("bigint")).alias("k"), F.min("org_legal_name").alias("n")).select("company_id", F.when(F.col("k") % 2 == 0, F.col("n")).otherwise(" ").alias("company_name"))
+    best = leads.model_leads(evaluation.company_scores(members).join(named, "company_id"), leads.best_members(members.where("score_reliable")), 100, 0.2, replace(DEFAULT, min_net_paid=1e6))
+    return best.select("rank", "company_id", "company_name", "max_score", "company_net_paid", "npi_list", "specialty_code")
+
+
+@query("names", "id removed_category matched", r"""select id, lead_class as removed_category, case lead_class when 'fqhc_taxonomy' then '261QF0400X' when 'hospital_taxonomy' then '282N00000X' when 'tribal' then case when n like '%TRIBAL%' then 'TRIBAL' else 'ALASKA NATIVE' end when 'public_academic' then 'UNIVERSITY'
+      when 'national_nonprofit' then 'RED CROSS' when 'hospital_name' then 'HOSPITAL' when 'government' then case when n like '%COUNTY OF%' then 'COUNTY OF' when n like '%HOSPITAL SERVICE DISTRICT%' then 'HOSPITAL SERVICE DISTRICT' else 'ENDS WITH COUNTY' end end as matched
+    from (select id, n, """ + _CLASSES + f""" from (select *, {_ALNUM} as n from names))""")
+def screened_leads(t: Tables) -> DataFrame:
+    return leads.screened(t.names(), "name", "specialty").select("id", "removed_category", "matched")
+
+
 # models and simulations, without SQL
 
 
@@ -610,10 +842,31 @@ def boosted_tree_scores(t: Tables) -> DataFrame:
     numeric = list(peers.FEATURES)
     labelled = t.provider_scoring().withColumn("label", (F.col("npi").cast("bigint") % 50 == 0).cast("int"))
     split = ml.stratified_split(labelled, "npi", "label")
-    model = ml.fit_boosted(split, numeric, ["primary_taxonomy", "entity_type"], rounds=5)
+    model = ml.fit_boosted(split, numeric, ["primary_taxonomy", "entity_type"])
     return ml.score_boosted(model, split, numeric, "npi")
 
 
+@query()
+def feature_importance(t: Tables) -> DataFrame:
+    numeric = list(peers.FEATURES)
+    labelled = t.provider_scoring().withColumn("label", (F.col("npi").cast("bigint") % 50 == 0).cast("int"))
+    return ml.importances(ml.fit_boosted(ml.stratified_split(labelled, "npi", "label"), numeric, ["primary_taxonomy", "entity_type"]), [*numeric, "primary_taxonomy", "entity_type"])
+
+
+def _provider_years(t: Tables) -> DataFrame:
+    return history.provider_years(_year_months(t), _facts(t).join(t.taxonomy(), "npi")).persist()
+
+
+@query()
+def provider_year_ranking(t: Tables) -> DataFrame:
+    return history.ranking(history.score_years(_provider_years(t)), None).select("rank", "npi", "year", "anomaly_score", "is_anomaly", "is_excluded", "top_driver", "description")
+
+
+@query()
+def provider_ranking(t: Tables) -> DataFrame:
+    return history.provider_ranking(history.score_years(_provider_years(t)), None)
+
+
 @query("", "window_start event_type n:i total:d", "select date_trunc('hour', ts) as window_start, event_type, count(*) as n, sum(value) as total from events group by 1, 2")
 def windowed_events(t: Tables) -> DataFrame:
     from claimscope.streaming.monthly import windowed_totals

@@ -50,7 +50,7 @@ VIEWS: dict[str, tuple[str, str]] = {
         max_n_concept_signals >= 3 and not any_npi_lead and npi_count >= 2 as fragmentation_signal from comp2"""),
     "names": ("", """select p_partkey::bigint as id, case when p_partkey % 5 = 0 then w || ' ' || p_name else p_name || '  ' || p_type || '  ' || w end as name,
         case when p_partkey % 31 = 0 then 'Clinic 261QF0400X' when p_partkey % 29 = 0 then 'General 282N00000X' else 'Home' end as specialty, ['TX', 'CA; NY', 'tx/ca', ''][p_partkey % 4 + 1] as states, p_retailprice as amount
-        from (select *, ['County of', 'Tribal Health', 'State University,', 'Red Cross of', 'Hospital', 'the', 'L L C', 'Inc.'][p_partkey % 8 + 1] as w from part)"""),
+        from (select *, ['County of', 'Tribal Health', 'State University,', 'Red Cross of', 'Hospital', 'the', 'L L C', 'Inc.', 'Hospital Service District', 'Good Samaritan Society', 'Alaska Native', 'Kern County'][p_partkey % 12 + 1] as w from part)"""),
     "monthly": ("claims", "select billing_npi as npi, hcpcs_code, left(service_month, 4)::int as year, substring(service_month, 6, 2)::int as month_num, sum(total_paid) as paid, sum(total_claim_lines) as claims, sum(total_patients) as bene from claims group by all"),
     "coarse": ("claims", "select billing_npi as npi, (hcpcs_code::bigint % 7)::varchar as code, left(service_month, 4)::int as year, sum(total_paid) as paid, sum(total_claim_lines) as claims, sum(total_patients) as bene, min(taxonomy_code) as tax from claims group by all"),
     "scored": ("linked", "select npi, company_id, net_paid, on_leie, k * 7919 % 1009 / 1009.0::double as score, (k % 50 = 0)::int as label, k % 5 = 0 as in_training, k % 11 = 0 as not_scored from linked"),

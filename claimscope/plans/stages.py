@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from claimscope.config import DEFAULT, Config
 from claimscope.functions.numbers import log1p_positive
-from claimscope.operators import attribution, companies, evaluation, exclusions, features, ml, peers
-from claimscope.operators.quality import conserved, unique_key
-from claimscope.sources import domain
-from claimscope.sources.writers import markdown, write_csv, write_parquet
+from claimscope.functions.ids import malformed_code
+from claimscope.operators import attribution, companies, coverage, evaluation, exclusions, features, history, leads, ml, peers
+from claimscope.operators.quality import conserved, partitioned, unique_key
+from claimscope.sources import domain, readers
+from claimscope.sources.writers import markdown, write_csv, write_lead_files, write_parquet
 
 
 class Store:
@@ -30,12 +31,15 @@ class Store:
         self.spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/{name}")
 
 
-def integrate(store: Store, spending: str, registry: str, enrollment: str, owners: list[str], excluded: str) -> None:
+def integrate(store: Store, spending: str, registry: str, enrollment: str, owners: list[str], excluded: str, npi_role: str = "billing") -> None:
     """Dimensions, the attributed fact, exclusions, owner edges, facility flags and quarantine; nothing fans out."""
     spark = store.spark
+    bad_lines = store.put("malformed_lines", readers.union_files([readers.malformed(spark, p) for p in (spending, registry, enrollment, excluded, *owners)]))
     enrolled = store.put("enrollment", domain.enrollment(spark, enrollment))
     dim = store.put("provider_dim", unique_key(domain.registry(spark, registry).join(domain.one_enrollment(enrolled), "npi", "left"), "npi"))
     claims = domain.spending(spark, spending)
+    if npi_role == "servicing":
+        claims = claims.withColumnsRenamed({"billing_npi_raw": "servicing_npi_raw", "servicing_npi_raw": "billing_npi_raw"})
     fact = attribution.attribute(claims, dim).withColumn("servicing_npi", attribution.canonical_npi(F.col("servicing_npi_raw")))
     fact = store.put("spending_fact", fact)
     conserved(claims, fact, "total_paid")
@@ -49,7 +53,7 @@ def integrate(store: Store, spending: str, registry: str, enrollment: str, owner
     flags = store.put("facility_flags", exclusions.facility_flags(exclusions.owner_matches(edges, listed)))
     bad = attribution.quarantine(claims, "billing_npi_raw", "spending_billing").unionByName(attribution.quarantine(claims, "servicing_npi_raw", "spending_servicing"))
     store.put("npi_quarantine", bad)
-    store.report("integration_report", markdown("Integration", {"coverage": attribution.coverage(fact), "top unmatched": attribution.top_unmatched(fact.withColumn("billing_npi", F.col("billing_npi_raw"))), "facilities": flags.agg(F.count(F.lit(1)).alias("flagged"))}))
+    store.report("integration_report", markdown("Integration", {"coverage": attribution.coverage(fact), "top unmatched": attribution.top_unmatched(fact.withColumn("billing_npi", F.col("billing_npi_raw"))), "facilities": flags.agg(F.count(F.lit(1)).alias("flagged")), "lines that fit no header": bad_lines.groupBy("source").agg(F.count(F.lit(1)).alias("n"))}))
 
 
 def audit(store: Store, cfg: Config = DEFAULT) -> None:
@@ -58,7 +62,25 @@ def audit(store: Store, cfg: Config = DEFAULT) -> None:
     write_parquet(fact.withColumn("bucket", attribution.partition_bucket(cfg.paid_ceiling)), f"{store.path}/spending_partition.parquet", ("bucket",))
     store.put("partition_summary", attribution.partition_summary(fact, cfg.paid_ceiling))
     store.put("coverage_split", attribution.coverage_split(fact))
-    store.put("clean_base", attribution.clean_base(fact, cfg.paid_ceiling))
+    base = store.put("clean_base", attribution.clean_base(fact, cfg.paid_ceiling))
+    over = F.coalesce(F.col("total_paid"), F.lit(0)) > cfg.paid_ceiling
+    corrupt = store.put("spending_corruption_quarantine", fact.where(over).withColumn("hcpcs_malformed", malformed_code(F.col("hcpcs_code"))))
+    aggregate = fact.where(~over & ~F.coalesce(F.col("provider_matched"), F.lit(False)))
+    partitioned(fact, corrupt, aggregate, base, measure="total_paid")
+    diagnose(store, fact, aggregate, cfg)
+
+
+def diagnose(store: Store, fact: DataFrame, aggregate: DataFrame, cfg: Config = DEFAULT) -> None:
+    """What the claims without a provider are; the aggregate track is written where its boundary is clean."""
+    ids = coverage.unmatched_ids(fact)
+    buckets = store.put("unmatched_buckets", coverage.bucket_shares(ids))
+    codes = store.put("unmatched_codes", coverage.code_shares(fact))
+    held = store.put("quarantine_accounting", coverage.quarantine_accounting(ids, store.read("npi_quarantine").where("source = 'spending_billing'")))
+    verdict = store.put("coverage_ambiguity", coverage.ambiguity(buckets, cfg))
+    top = ids.orderBy(F.col("paid").desc_nulls_last(), "raw_value").limit(50)
+    if verdict.first()["segregate"]:
+        store.put("spending_aggregate_billing", aggregate)
+    store.report("coverage_report", markdown("Coverage", {"matched and unmatched": store.read("coverage_split"), "top unmatched identifiers": top, "classes": buckets, "quarantine": held, "top codes": codes, "scope": verdict}))
 
 
 CARRIED = {"primary_taxonomy": "taxonomy_code", "entity_type": "entity_type", "practice_state": "provider_state", "org_legal_name": "org_legal_name"}
@@ -92,7 +114,9 @@ def detect(store: Store, cfg: Config = DEFAULT) -> None:
     frame, base, listed = store.read("provider_features"), store.read("clean_base"), store.read("exclusions")
     months = store.read("provider_month").select(F.col("billing_npi").alias("npi"), "service_month", F.col("net_paid").alias("paid"), "claim_lines")
     status = store.put("month_status", exclusions.month_status(months, listed.where("npi is not null")))
-    store.put("layer1_cases", exclusions.dispositions(status).join(exclusions.top_codes_after(base, status), "npi", "left"))
+    context = frame.select("npi", "org_legal_name", "entity_type", "primary_taxonomy", "practice_state")
+    cases = exclusions.dispositions(status).join(exclusions.top_codes_after(base, status), "npi", "left")
+    cases = store.put("layer1_cases", exclusions.case_context(cases, listed, context))
     v1, v2 = peers.anomaly_v1(frame, "npi", cfg), peers.anomaly_v2(frame, "npi", cfg)
     store.put("fraud_leads_v1", v1)
     store.put("fraud_leads_v2", v2)
@@ -102,19 +126,45 @@ def detect(store: Store, cfg: Config = DEFAULT) -> None:
     owner = F.coalesce(F.col("has_probable_excluded_owner") > 0, F.lit(False))
     rate = F.col("rule_implausible_lines_per_patient") | F.col("rule_implausible_paid_per_line")
     tier = peers.priority_tier(F.col("billed_after_exclusion"), rate, F.col("excluded_after_billing"), F.col("anomaly_lead"), owner)
-    leads = met.withColumns({"probable_owner": owner, "priority_tier": tier, "billed_after_exclusion": F.coalesce("billed_after_exclusion", F.lit(False))}).withColumn("priority_rank", F.substring("priority_tier", 1, 1).cast("int")).withColumn("rule_reasons", peers.rule_reasons())
-    leads = store.put("fraud_leads_v3", leads)
-    write_csv(leads.where("priority_rank <= 5").select("npi", "priority_tier", "anomaly_score", "n_concept_signals", "contributing_concepts", "paid_after_exclusion", "rule_reasons"), f"{store.path}/fraud_leads.csv")
+    found = met.withColumns({"probable_owner": owner, "priority_tier": tier, "billed_after_exclusion": F.coalesce("billed_after_exclusion", F.lit(False))}).withColumn("priority_rank", F.substring("priority_tier", 1, 1).cast("int")).withColumn("rule_reasons", peers.rule_reasons())
+    found = store.put("fraud_leads_v3", found.join(context, "npi"))
+    store.report("detection_report", markdown("Detection", {"tiers": tier_counts(found), "verdicts": cases.groupBy("disposition").agg(F.count(F.lit(1)).alias("n"), F.sum("paid_after").alias("paid_after")).orderBy("disposition"), "name checks": cases.groupBy("name_match").agg(F.count(F.lit(1)).alias("n")).orderBy("name_match")}))
+
+
+def tier_counts(found: DataFrame) -> DataFrame:
+    """Leads and their dollars by tier."""
+    dollars = "net_paid" if "net_paid" in found.columns else "company_net_paid"
+    return found.groupBy("priority_tier").agg(F.count(F.lit(1)).alias("n"), F.sum(dollars).alias("paid")).orderBy("priority_tier")
+
+
+def export(store: Store, cfg: Config = DEFAULT, preserve_excluded: bool = True) -> None:
+    """The final provider and company lists, flat files by kind, and the outreach selection with its audit."""
+    names = store.read("provider_dim").select("npi", "provider_name")
+    projected = store.put("provider_leads", leads.provider_leads(store.read("fraud_leads_v3"), names, store.read("layer1_cases")))
+    write_lead_files(projected, f"{store.path}/flat", leads.lead_kinds())
+    write_csv(leads.final_leads(projected, cfg), f"{store.path}/final_leads.csv", ("priority_rank",), force_quote=("npi",))
+    if preserve_excluded:
+        write_csv(leads.excluded_leads(projected), f"{store.path}/high_precision_excluded_leads.csv", ("priority_rank",), force_quote=("npi",))
+    tracked = store.read("company_lead_tracker")
+    clean = companies.ranked(tracked.where(F.col("company_net_paid") >= cfg.min_net_paid))
+    quoted = ("company_name", "npi_list", "related_entities")
+    clean = store.put("company_leads_clean", clean.join(store.read("related_entities"), "company_id", "left"))
+    write_lead_files(clean, f"{store.path}/companies", {"company_leads_clean": F.lit(True), "triage_priority": F.col("priority_rank") <= 3, "probable_owner_backlog": F.col("priority_rank") == 4}, quoted)
+    screened = leads.screened(clean, "company_name", "specialty")
+    write_lead_files(screened, f"{store.path}/screened", {"final_leads": F.col("removed_category").isNull(), "removed_audit": F.col("removed_category").isNotNull()}, quoted)
+    picked = store.put("advert_selection", leads.advert_selection(store.read("company_rollup"), cfg))
+    write_lead_files(picked, f"{store.path}/advert", {"selected": F.lit(True), "clean": F.col("reason").isNull(), "excluded": F.col("reason").isNotNull()}, ("company_name", "npi_list"))
+    store.report("export_report", markdown("Exports", {"provider tiers": tier_counts(projected), "company tiers": tier_counts(clean), "outreach": picked.groupBy(F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("n")).orderBy("reason")}))
 
 
 def roll_up(store: Store, cfg: Config = DEFAULT) -> None:
     """Companies: map, roll-up, company scores, tracker, triage and ranked leads."""
-    frame, leads, base = store.read("provider_features"), store.read("fraud_leads_v3"), store.read("clean_base")
+    frame, found, base = store.read("provider_features"), store.read("fraud_leads_v3"), store.read("clean_base")
     pac = store.read("pac_crosswalk").where("coalesce(pac_id, '') <> ''").groupBy("npi").agg(F.min("pac_id").alias("pac_id"))
     owner = F.coalesce(F.nullif(F.col("owner_npi"), F.lit("")), F.nullif(F.col("owner_name_key"), F.lit("")))
     owned = store.read("owner_edges").where("facility_npi is not null").groupBy(F.col("facility_npi").alias("npi")).agg(F.min(owner).alias("owner_key"))
     ready = frame.select("npi", "org_legal_name", "practice_state", "primary_taxonomy", "entity_type").join(pac, "npi", "left").join(owned, "npi", "left")
-    signals = leads.select("npi", "net_paid", "gross_paid", "provider_on_leie", "billed_after_exclusion", "anomaly_score", "n_concept_signals", "probable_owner", "priority_rank", F.col("anomaly_lead").alias("npi_lead"))
+    signals = found.select("npi", "net_paid", "gross_paid", "provider_on_leie", "billed_after_exclusion", "anomaly_score", "n_concept_signals", "probable_owner", "priority_rank", F.col("anomaly_lead").alias("npi_lead"))
     linked = store.put("npi_to_company_map", companies.link(ready).join(signals, "npi"))
     rolled = store.put("company_rollup", companies.rollup(linked))
     claims = base.join(linked.select(F.col("npi").alias("billing_npi"), "company_id"), "billing_npi")
@@ -127,11 +177,10 @@ def roll_up(store: Store, cfg: Config = DEFAULT) -> None:
     scores = store.put("company_scores_full", peers.score_concepts(scoring, "company_id", cfg))
     after = store.read("layer1_cases").join(linked.select("npi", "company_id"), "npi").groupBy("company_id").agg(F.sum("paid_after").alias("paid_after"))
     named = scores.select("company_id", F.col("anomaly_score").alias("company_anomaly_score"), F.col("anomaly_lead").alias("company_anomaly_lead"), "contributing_concepts")
-    tracked = companies.triage(companies.track(rolled, named, after, cfg), cfg).withColumn("reasons", companies.reason())
+    lookups = store.put("company_lookups", leads.company_lookups(linked, store.read("provider_dim")))
+    tracked = companies.triage(leads.named(companies.track(rolled, named, after, cfg), lookups), cfg).withColumn("reasons", leads.sentence())
     tracked = store.put("company_lead_tracker", tracked)
     store.put("related_entities", companies.related(tracked))
-    final = companies.ranked(tracked.where(F.col("company_net_paid") >= cfg.min_net_paid))
-    write_csv(final, f"{store.path}/company_leads.csv")
 
 
 def model(store: Store, cfg: Config = DEFAULT, rounds: int = 20) -> None:
@@ -145,9 +194,27 @@ def model(store: Store, cfg: Config = DEFAULT, rounds: int = 20) -> None:
     fitted.write().overwrite().save(f"{store.path}/model")
     scores = ml.score_boosted(fitted, met, numeric, "npi")
     done = evaluation.rank_reliable(evaluation.segments(scores.join(met.select("npi", "net_paid", "provider_on_leie", "in_training", "not_scored", "label"), "npi")))
-    done = store.put("provider_model_scores", done)
-    store.put("company_model_scores", evaluation.company_scores(done.join(store.read("npi_to_company_map").select("npi", "company_id"), "npi")))
-    store.put("model_metrics", evaluation.ranking_metrics(done.join(split.where("is_val").select("npi"), "npi"), "score", "label"))
+    done = store.put("provider_model_scores", done.join(frame.select("npi", "org_legal_name", "entity_type", "primary_taxonomy", "practice_state"), "npi"))
+    members = done.join(store.read("npi_to_company_map").select("npi", "company_id"), "npi")
+    names = store.read("company_rollup").select("company_id", "company_name")
+    store.put("company_model_scores", evaluation.company_scores(members).join(names, "company_id", "left"))
+    store.put("company_best_members", leads.best_members(members.where("score_reliable")))
+    val = store.put("val_predictions", done.join(split.where("is_val").select("npi"), "npi").select("npi", F.col("label").alias("y_true"), F.col("score").alias("model_score")))
+    store.put("model_metrics", evaluation.ranking_metrics(val, "model_score", "y_true"))
+    store.put("model_at_k", evaluation.at_k(val, "model_score", "y_true", "npi", (50, 100, 250, 500, 1000)))
+    store.put("pr_curve", evaluation.precision_recall_curve(val, "model_score", "y_true"))
+    found = store.put("feature_importance", ml.importances(fitted, [*numeric, "primary_taxonomy", "entity_type"]))
+    store.report("model_report", markdown("Model", {"validation": store.read("model_metrics"), "at k": store.read("model_at_k"), "features by gain": found.orderBy(F.col("gain").desc(), "feature").limit(20)}))
+
+
+def model_exports(store: Store, cfg: Config = DEFAULT, top_k: int = 5000, min_score: float = 0.0, npi_min_net_paid: float = 5_000_000.0, npi_min_score: float = 0.9) -> None:
+    """The company list of the model, its screened part and audit, and the provider list."""
+    best = leads.model_leads(store.read("company_model_scores"), store.read("company_best_members"), top_k, min_score, cfg)
+    judged = store.put("model_leads", leads.screened(best, "company_name", "specialty_code"))
+    kinds = {"leads": F.lit(True), "screened": F.col("removed_category").isNull(), "removed_audit": F.col("removed_category").isNotNull()}
+    write_lead_files(judged, f"{store.path}/model_leads_csv", kinds, ("company_name", "npi_list"))
+    providers = store.put("model_npi_leads", leads.provider_model_leads(store.read("provider_model_scores"), npi_min_net_paid, npi_min_score))
+    write_lead_files(providers, f"{store.path}/model_npi_leads_csv", kinds, ("npi",))
 
 
 def backtest(store: Store, cfg: Config = DEFAULT) -> None:
@@ -161,3 +228,35 @@ def backtest(store: Store, cfg: Config = DEFAULT) -> None:
     store.put("backtest_lift", evaluation.lift_table(labelled, "score_decile"))
     store.put("backtest_within_size", evaluation.within_size_lift(labelled, "anomaly_score", "company_net_paid", "company_id"))
     store.put("backtest_null_tests", evaluation.null_tests(labelled, "anomaly_score", cfg=cfg))
+    by_size = evaluation.binned(labelled, "company_net_paid", "company_id", "billing_decile")
+    store.put("backtest_billing_lift", evaluation.lift_table(by_size, "billing_decile"))
+    store.put("backtest_timing", evaluation.timing_lift(labelled, "score_decile", "hit", "exclusion_date", *cfg.billing_years))
+    at_bar = labelled.agg(F.avg("hit").alias("base"), F.count_if(F.col("anomaly_score") >= cfg.anomaly_bar).alias("n_leads"), F.avg(F.when(F.col("anomaly_score") >= cfg.anomaly_bar, F.col("hit"))).alias("lead_rate"))
+    store.put("backtest_bar", at_bar.withColumn("lead_lift", F.col("lead_rate") / F.nullif(F.col("base"), F.lit(0.0))))
+    parts = {"deciles": "backtest_lift", "billing deciles": "backtest_billing_lift", "within size": "backtest_within_size", "timing": "backtest_timing", "at the bar": "backtest_bar", "null tests": "backtest_null_tests"}
+    store.report("backtest_report", markdown("Backtest", {k: store.read(v) for k, v in parts.items()}))
+
+
+def yearly_clean(store: Store, spending: str, registry: str, excluded: str, min_total_paid: float = 10_000_000.0) -> None:
+    """The yearly track's inputs: months and years of qualifying providers, and one enriched row a provider."""
+    spark = store.spark
+    months = store.put("yearly_months", history.monthly(history.qualifying(readers.yearly_spending(spark, spending), min_total_paid)))
+    store.put("yearly_annual", history.annual(months))
+    facts = history.enriched(history.summary(months), domain.registry(spark, registry).select("npi", "provider_name", "taxonomy_code", "specialty", "enumerated", "deactivated"), domain.exclusions(spark, excluded).select("npi", "excl_date", "reinstate_date", "excl_type"))
+    write_csv(unique_key(store.put("yearly_providers", facts), "npi"), f"{store.path}/providers_clean.csv")
+
+
+def yearly_features(store: Store, cfg: Config = DEFAULT) -> None:
+    """Provider-year inputs of the forest."""
+    frame = store.put("yearly_features", history.provider_years(store.read("yearly_months"), store.read("yearly_providers"), cfg))
+    write_csv(unique_key(frame, "npi", "year"), f"{store.path}/fraud_features.csv")
+
+
+def yearly_score(store: Store, contamination: float = 0.05, trees: int = 300, save_top: int | None = 200) -> None:
+    """Scores of provider-years, ranked with descriptions, rolled up by provider, and held against exclusions."""
+    scored = store.put("yearly_scores", history.score_years(store.read("yearly_features"), contamination, trees))
+    named = store.read("yearly_providers").select("npi", "provider_name")
+    write_csv(history.ranking(scored, save_top).join(named, "npi", "left").orderBy("rank"), f"{store.path}/provider_rankings.csv")
+    write_csv(history.provider_ranking(scored, save_top).join(named, "npi", "left").orderBy("rank"), f"{store.path}/provider_summary.csv")
+    keyed = scored.withColumn("__key", F.concat_ws("|", "npi", "year"))
+    store.put("yearly_at_k", evaluation.at_k(keyed, "anomaly_score", "is_excluded", "__key", (50, 100, 200, 500, 1000)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimscope.functions.dates import ymd_date, ymd_month
 from claimscope.functions.ids import canonical_npi
+from claimscope.functions.lookups import specialty
 from claimscope.functions.names import address_key, display_name, name_key
 from claimscope.sources.readers import facility_type, file_stem, read_any, read_table, resolve_columns, typed_spending, union_files
 
@@ -25,6 +26,7 @@ REGISTRY = {
     "npi_raw": ["NPI"], "entity_type": ["Entity Type Code"], "org_legal_name": ["Provider Organization Name (Legal Business Name)"], "last_name": ["Provider Last Name (Legal Name)"], "first_name": ["Provider First Name"],
     "taxonomy_code": ["Healthcare Provider Taxonomy Code_1"], "line1": ["Provider First Line Business Practice Location Address"], "city": ["Provider Business Practice Location Address City Name"],
     "provider_state": ["Provider Business Practice Location Address State Name"], "zip": ["Provider Business Practice Location Address Postal Code"], "deactivation": ["NPI Deactivation Date"], "reactivation": ["NPI Reactivation Date"],
+    "enumeration": ["Provider Enumeration Date"],
 }
 ENROLLMENT = {
     "npi_raw": ["NPI"], "pac_id": ["PECOS_ASCT_CNTL_ID"], "enrollment_id": ["ENRLMT_ID"], "provider_type_code": ["PROVIDER_TYPE_CD"], "provider_type_desc": ["PROVIDER_TYPE_DESC"], "pecos_state": ["STATE_CD"],
@@ -53,11 +55,11 @@ def registry(spark: SparkSession, path: str) -> DataFrame:
     df = read_table(spark, path, REGISTRY, ("npi_raw",))
     day = lambda c: F.coalesce(F.try_to_date(F.col(c), "MM/dd/yyyy"), F.try_to_date(F.col(c), "yyyy-MM-dd"))
     ready = df.withColumns({
-        "npi": canonical_npi(F.col("npi_raw")), "provider_name": display_name(F.col("org_legal_name"), F.col("last_name"), F.col("first_name")), "deactivated": day("deactivation"), "reactivated": day("reactivation"),
+        "npi": canonical_npi(F.col("npi_raw")), "provider_name": display_name(F.col("org_legal_name"), F.col("last_name"), F.col("first_name")), "deactivated": day("deactivation"), "reactivated": day("reactivation"), "enumerated": day("enumeration"), "specialty": specialty(F.col("taxonomy_code")),
         "addr_key": address_key(F.col("line1"), F.col("city"), F.col("provider_state"), F.col("zip")),
     }).withColumn("is_active", F.col("deactivated").isNull() | (F.col("reactivated") >= F.col("deactivated")))
-    kept = ["npi", "entity_type", "org_legal_name", "provider_name", "taxonomy_code", "provider_state", "addr_key", "deactivated", "reactivated", "is_active"]
-    filled = sum((F.col(c).isNotNull().cast("int") for c in kept), F.lit(0))
+    kept = ["npi", "entity_type", "org_legal_name", "provider_name", "taxonomy_code", "provider_state", "addr_key", "deactivated", "reactivated", "is_active", "enumerated", "specialty"]
+    filled = sum((F.col(c).isNotNull().cast("int") for c in kept if c != "specialty"), F.lit(0))
     first = Window.partitionBy("npi").orderBy(filled.desc(), "provider_name", "addr_key", "taxonomy_code", "deactivation", "reactivation")
     return ready.where("npi is not null").withColumn("__n", F.row_number().over(first)).where("__n = 1").select(*kept)
 

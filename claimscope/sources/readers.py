@@ -7,6 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BAD = "_bad"
 
 
 def normal_header(name: str) -> str:
@@ -23,11 +26,59 @@ def resolve_columns(columns: list[str], aliases: dict[str, list[str]], required:
     return found
 
 
+def _is_parquet(path: str) -> bool:
+    return bool(re.search(r"\.parquet/?$|\.pq$", path.lower()))
+
+
+def _csv_with_bad(spark: SparkSession, path: str) -> DataFrame:
+    """All columns as strings, and the line itself in ``_bad`` where it doesn't fit the header."""
+    options = {"header": True, "quote": '"', "escape": '"'}
+    header = spark.read.csv(path, inferSchema=False, **options).schema
+    wide = T.StructType([*[T.StructField(f.name, T.StringType()) for f in header], T.StructField(BAD, T.StringType())])
+    return spark.read.schema(wide).options(columnNameOfCorruptRecord=BAD, columnPruning=False, mode="PERMISSIVE").csv(path, **options)
+
+
 def read_any(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet by extension, else CSV with all columns as strings; malformed lines are dropped."""
-    if re.search(r"\.parquet/?$|\.pq$", path.lower()):
+    """Parquet by extension, else CSV with all columns as strings. Lines that don't fit are in malformed(), not here."""
+    if _is_parquet(path):
         return spark.read.parquet(path)
-    return spark.read.csv(path, header=True, inferSchema=False, mode="DROPMALFORMED", quote='"', escape='"')
+    return _csv_with_bad(spark, path).where(F.col(BAD).isNull()).drop(BAD)
+
+
+def malformed(spark: SparkSession, path: str) -> DataFrame:
+    """source, first field and line of the CSV lines that read_any() leaves out; empty for Parquet."""
+    if _is_parquet(path):
+        return spark.createDataFrame([], "source string, first_field string, line string")
+    both = _csv_with_bad(spark, path)
+    return both.where(F.col(BAD).isNotNull()).select(F.lit(path).alias("source"), F.col(f"`{both.columns[0]}`").alias("first_field"), F.col(BAD).alias("line"))
+
+
+def find_input(spark: SparkSession, name: str, folders: list[str], deep: bool = False) -> str:
+    """The path of ``name`` in the first of ``folders`` that has it; with ``deep`` also below them, by least path."""
+    for deeper in (False, True) if deep else (False,):
+        for folder in folders:
+            fs, root = file_system(spark, folder)
+            direct = root.suffix(f"/{name}")
+            if not deeper and fs.exists(direct):
+                return direct.toString()
+            if deeper and fs.exists(root):
+                found, files = [], fs.listFiles(root, True)
+                while files.hasNext():
+                    p = files.next().getPath()
+                    while p is not None and p.toString() != root.toString():
+                        if p.getName() == name:
+                            found.append(p.toString())
+                        p = p.getParent()
+                if found:
+                    return min(found)
+    raise FileNotFoundError(f"{name} is in none of {folders}")
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the qualified path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(p)
 
 
 def read_table(spark: SparkSession, path: str, aliases: dict[str, list[str]], required: tuple[str, ...] = ()) -> DataFrame:
@@ -59,5 +110,19 @@ def typed_spending(df: DataFrame, suppressed: str | None = None, tokens: tuple[s
     return df.withColumns(cast).withColumn("is_suppressed", flag)
 
 
+# The two headers of each column of the yearly track's spending file.
+YEARLY_SPENDING = {
+    "npi": ["BILLING_PROVIDER_NPI_NUM", "billing_provider_npi"], "hcpcs_code": ["HCPCS_CODE", "hcpcs_code"], "service_month": ["CLAIM_FROM_MONTH", "service_month"],
+    "total_patients": ["TOTAL_PATIENTS", "total_beneficiaries"], "total_claim_lines": ["TOTAL_CLAIM_LINES", "total_claims"], "total_paid": ["TOTAL_PAID", "total_paid_amount"],
+}
+
+
+def yearly_spending(spark: SparkSession, path: str) -> DataFrame:
+    """Spending of the yearly track: rows with an npi; texts default to empty, what isn't a number to 0."""
+    df = read_table(spark, path, YEARLY_SPENDING, ("npi",)).where("npi is not null")
+    numbers = ("total_patients", "total_claim_lines", "total_paid")
+    return df.withColumns({**{c: F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)) for c in numbers}, **{c: F.coalesce(c, F.lit("")) for c in ("hcpcs_code", "service_month")}})
+
+
 def constant(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)

@@ -1,6 +1,7 @@
 """All stages over small CSV files, with the edge rows of each input."""
 
 import csv
+import glob
 import random
 
 import pytest
@@ -56,9 +57,18 @@ def store(spark, tmp_path_factory):
     stages.roll_up(out, cfg)
     stages.model(out, cfg, rounds=2)
     stages.backtest(out, cfg)
+    stages.export(out, cfg)
+    stages.model_exports(out, cfg, top_k=5, npi_min_net_paid=1.0, npi_min_score=0.0)
+    stages.yearly_clean(out, paths["spending"], paths["registry"], paths["exclusions"], 1.0)
+    stages.yearly_features(out, cfg)
+    stages.yearly_score(out, trees=20, save_top=None)
     return out, len(claims)
 
 
+def rows(out, name):
+    return [r for f in glob.glob(f"{out.path}/{name}/part*") for r in csv.DictReader(open(f))]
+
+
 def test_fact_is_conserved(store):
     out, n = store
     fact = out.read("spending_fact")
@@ -96,3 +106,47 @@ def test_models_and_backtest(store):
     assert scores.count() == 70 and {r["segment"] for r in scores.where("provider_on_leie").collect()} == {"leie_positive"}
     assert out.read("backtest_results").agg({"hit": "sum"}).first()[0] >= 1
     assert out.read("backtest_lift").count() == 10
+
+
+def test_coverage_diagnosis(store):
+    out, n = store
+    buckets = {r["bucket"]: r["n_rows"] for r in out.read("unmatched_buckets").collect()}
+    assert sum(buckets.values()) == out.read("spending_fact").where("not provider_matched").count() and {"blank", "failed_luhn"} <= set(buckets)
+    assert out.read("quarantine_accounting").first()["n_ids"] == 2
+    assert out.read("spending_corruption_quarantine").count() == 1 and out.read("coverage_ambiguity").count() == 1
+    assert out.read("malformed_lines").count() == 0
+
+
+def test_exports(store):
+    out, _ = store
+    leads = {r["npi"]: r for r in out.read("provider_leads").collect()}
+    assert len(leads) == 70 and leads[npi(4)]["layer1_disposition"] == "QUALIFIED" and leads[npi(20)]["provider_name"] == "Org 10 LLC"
+    kinds = {k: len(rows(out, f"flat/{k}")) for k in ("fraud_leads", "leads_ranked", "layer1_rule_hits", "layer3_ownership_leads")}
+    assert kinds["fraud_leads"] == 70 >= kinds["leads_ranked"] >= kinds["layer1_rule_hits"] >= 1
+    assert npi(4) in {r["npi"] for r in rows(out, "high_precision_excluded_leads.csv")}
+    clean = rows(out, "companies/company_leads_clean")
+    assert len(clean) == len(rows(out, "companies/triage_priority")) + len(rows(out, "companies/probable_owner_backlog")) >= 1 and all(r["company_name"] for r in clean)
+    assert len(rows(out, "advert/selected")) == len(rows(out, "advert/clean")) + len(rows(out, "advert/excluded"))
+    cases = {r["npi"]: r for r in out.read("layer1_cases").collect()}
+    assert cases[npi(4)]["name_match"] == "exact" and cases[npi(4)]["fraud_related_type"] and cases[npi(4)]["excl_months"] == "2019-06"
+
+
+def test_model_artifacts(store):
+    out, _ = store
+    assert out.read("feature_importance").count() > 5 and out.read("pr_curve").count() >= 1
+    assert out.read("val_predictions").count() >= 1 and out.read("model_leads").count() <= 5
+    assert out.read("model_npi_leads").where("provider_name is null").count() == 0
+    assert out.read("backtest_timing").count() == 3 and out.read("backtest_billing_lift").count() == 10
+
+
+def test_yearly_track(store):
+    out, _ = store
+    people = {r["npi"]: r for r in out.read("yearly_providers").collect()}
+    assert people[npi(3)]["billing_on_deactivated_npi"] == 1 and people[npi(4)]["in_leie"] and people[npi(5)]["specialty"] == "Family Medicine"
+    years = out.read("yearly_features")
+    assert years.count() == years.select("npi", "year").distinct().count() >= 200
+    scored = out.read("yearly_scores")
+    assert scored.agg({"anomaly_score": "max"}).first()[0] == 1.0 and scored.agg({"anomaly_score": "min"}).first()[0] == 0.0
+    ranked = rows(out, "provider_rankings.csv")
+    assert len(ranked) == years.count() and sorted(int(r["rank"]) for r in ranked) == list(range(1, len(ranked) + 1)) and all(r["description"] for r in ranked)
+    assert len(rows(out, "provider_summary.csv")) == len(people) - 1  # one has no valid month
