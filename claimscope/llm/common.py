@@ -20,7 +20,7 @@ _private: dict[str, str] = {}
 
 
 def tune(spark: SparkSession) -> None:
-    """Session settings that the Arrow operators need."""
+    """Session settings that the Arrow operators need. They stay set, as plans are run after an operator returns."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

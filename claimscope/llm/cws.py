@@ -15,13 +15,15 @@ no task sees more than its bucket, and a text is shuffled once.
 Defined results: a null text is empty, an empty text has the empty fingerprint, which is like
 another empty one (1) and like no other (0); equal ids are ordered by text, null ids come last; a
 single document is its own neighbour; an empty table gives an empty result; other columns are
-ignored.
+ignored. Ids that aren't numbers raise a ValueError; rows of one id are one bucket. With 32 samples a
+likeness has a standard error of at most 0.09, and of sqrt(s (1 - s) / 32) at similarity s.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from claimscope.llm.common import input_partitions
 
@@ -81,6 +83,8 @@ def _bucketed(docs: DataFrame, buckets: int) -> DataFrame:
 
 def edited_neighbours(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = SAMPLES) -> DataFrame:
     """Each text's fingerprint, that of the text with its second half replaced from the next document, and likenesses."""
+    if not isinstance(df.schema[key].dataType, NumericType):
+        raise ValueError(f"{key} must be a number")
     parts = input_partitions(df, text, PARTITION_BYTES)
     buckets = min(MOST_BUCKETS, BUCKETS_EACH * parts)
     docs = _bucketed(df.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")), buckets)

@@ -16,7 +16,8 @@ give each piece its place from its length and its rank among the pieces of that
 
 Defined results: a null text is tokenized as an empty one (only the end id); texts longer than the
 capacity are cut, no other is; repeated rows are packed as often as they occur; an empty table
-gives an empty result. Columns of the input that clash with the output's are replaced.
+gives an empty result. Columns of the input that clash with the output's are replaced. A very long single word is
+tokenized whole, like any text.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ the ledger: no text is read again.
 
 Defined results: a null text is measured as an empty one (no words, so ``few_words`` fails);
 an empty table gives an empty ledger; repeated rows get equal rows; input columns whose names
-clash with the ledger's are replaced by the ledger's.
+clash with the ledger's are replaced by the ledger's. Texts are measured whole, very long ones one at
+a time; a measure equal to a rule's threshold passes.
 """
 
 from __future__ import annotations
@@ -105,7 +106,7 @@ def _measured(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def ledger(df: DataFrame, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
     """``keep`` (default: all other columns), the measurements and ``fail_bits`` (long) of each row."""
     tune(df.sparkSession)
-    made = {*MEASURES, "fail_bits"}
+    made = {*MEASURES, "fail_bits", "base_failed", "kept", "policy"}
     keep = [c for c in (df.columns if keep is None else keep) if c not in made and c != text]
     narrow = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("binary").alias("__raw"))
     schema = T.StructType([*narrow.schema.fields[:-1], *(T.StructField(m, T.LongType()) for m in MEASURES)])
@@ -118,6 +119,17 @@ def passes(policy: Policy, bits: str = "fail_bits") -> Column:
     return F.col(bits).bitwiseAND(F.lit(policy.mask)) == 0
 
 
+def store(ledger_df: DataFrame, path: str) -> DataFrame:
+    """Writes a ledger and reads it back; policies that come later are applied to it by apply_policy()."""
+    ledger_df.write.mode("overwrite").parquet(path)
+    return ledger_df.sparkSession.read.parquet(path)
+
+
+def apply_policy(ledger_df: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
+    """A ledger with ``base_failed``, ``kept`` (not base_failed, and ``policy`` passes) and the policy's version."""
+    return ledger_df.withColumns({"base_failed": ~passes(BASE), "kept": passes(BASE) & passes(policy), "policy": F.lit(policy.version)})
+
+
 def compare(ledger_df: DataFrame, policies: Sequence[Policy] = POLICIES) -> DataFrame:
     """For each policy: version, mask, n_docs, n_kept, any_bits and all_bits (OR and AND of the failures it sees)."""
     each = F.array(*[F.struct(F.lit(p.version).alias("version"), F.lit(p.mask).cast("long").alias("mask")) for p in policies])
@@ -134,6 +146,5 @@ def ablation(ledger_df: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
 
 
 def judge(df: DataFrame, policy: Policy = DEFAULT, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
-    """The ledger with ``base_failed`` and ``kept`` (not base_failed, and ``policy`` passes)."""
-    book = ledger(df, text, keep)
-    return book.withColumn("base_failed", ~passes(BASE)).withColumn("kept", passes(BASE) & passes(policy))
+    """The ledger of ``df`` under ``policy``."""
+    return apply_policy(ledger(df, text, keep), policy)

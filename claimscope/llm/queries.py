@@ -15,7 +15,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(_read(spark, sf_dir, "documents").select("doc_id", "text"))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits", "n_lines", "n_alpha_words", "n_letters", "n_upper", "policy")
 
 
 OP1_SQL = r"""
@@ -37,7 +37,8 @@ b as (select *, (n_words < 50)::bigint + 2 * (100 * n_repeat_words > 50 * n_word
         + 64 * (2 * n_upper > n_letters)::bigint as fail_bits from m)
 select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
   n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words,
-  (fail_bits & 3) <> 0 as base_failed, fail_bits = 0 as kept, fail_bits from b
+  (fail_bits & 3) <> 0 as base_failed, fail_bits = 0 as kept, fail_bits, n_lines::bigint as n_lines, n_alpha_words::bigint as n_alpha_words,
+  n_letters::bigint as n_letters, n_upper::bigint as n_upper, 'strict-1' as policy from b
 """
 
 

@@ -30,6 +30,16 @@ def test_quality_against_brute_force(spark):
     assert quality_rules.judge(df.limit(0)).count() == 0
 
 
+def test_stored_ledgers_serve_later_policies(spark, tmp_path):
+    docs = spark.createDataFrame([(i, t, "") for i, t in enumerate(["w " * 60, "ABC " * 60, None])], DOCS)
+    book = quality_rules.store(quality_rules.ledger(docs), str(tmp_path / "ledger"))
+    later = quality_rules.Policy("later", ("few_words",))
+    for policy in (quality_rules.DEFAULT, later):
+        again = {r["doc_id"]: r.asDict() for r in quality_rules.apply_policy(book, policy).collect()}
+        assert again == {r["doc_id"]: r.asDict() for r in quality_rules.judge(docs, policy).collect()}
+        assert {r["policy"] for r in again.values()} == {policy.version}
+
+
 def test_policies_over_a_real_ledger(spark):
     rng = random.Random(5)
     texts = [" ".join(rng.choices(["word", "Other", "# $", "ABC", "x1"], k=rng.randrange(0, 120))) for _ in range(80)] + [None, "line\n" * 60]
