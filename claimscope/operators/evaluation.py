@@ -31,9 +31,8 @@ def labels(companies: DataFrame, by_npi: DataFrame, by_name: DataFrame) -> DataF
 
 def binned(df: DataFrame, score: str, tie: str, name: str, bins: int = 10, by: list[str] | None = None) -> DataFrame:
     """Adds the bin of each row's rank by (score, tie); ranks are counted in cuts of the score, not by one task."""
-    by = by or []
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-    met = order._met(order.ranked(df, F.col(score), [tie], "__rank", by), sizes, by)
+    df = df.persist()  # companies or providers: read for the cuts, their sums and the ranks
+    met = order.ranked(df, F.col(score), [tie], "__rank", by or [], "__n")
     return met.select(*df.columns, bin_of(F.col("__rank"), F.col("__n"), bins).alias(name))
 
 

@@ -55,10 +55,13 @@ def quantiles(df: DataFrame, by: Sequence[str], x: str, shares: dict[str, float]
     return ends.groupBy(*by).agg(*[F.max(F.when(F.col("__i") == i, F.col("__v"))).alias(name) for i, name in enumerate(shares)])
 
 
-def running(df: DataFrame, x: Column, tie: Sequence[str], sums: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
-    """Adds running sums, this row included, in the order of (``x``, ``tie``) within ``by``; null ``x`` is last."""
+def running(df: DataFrame, x: Column, tie: Sequence[str], sums: dict[str, Column], by: Sequence[str] = (), rows: str | None = None) -> DataFrame:
+    """Adds running sums, this row included, in the order of (``x``, ``tie``) within ``by``; null ``x`` is last.
+
+    ``rows`` names a column for the number of rows of the group.
+    """
     ready = df.withColumns({"__x": x.cast("double"), **{f"__s_{k}": v for k, v in sums.items()}})
-    cuts = ready.groupBy(*by).agg(F.percentile_approx("__x", [i / CUTS for i in range(1, CUTS)], 1000).alias("__cuts"))
+    cuts = ready.groupBy(*by).agg(F.percentile_approx("__x", [i / CUTS for i in range(1, CUTS)], 1000).alias("__cuts"), F.count(F.lit(1)).alias("__rows"))
     placed = _met(ready, cuts, by).withColumn("__at", F.when(F.col("__x").isNull(), CUTS).otherwise(F.size(F.filter("__cuts", lambda c: c < F.col("__x"))))).drop("__cuts")
     totals = placed.groupBy(*by, "__at").agg(*[F.sum(f"__s_{k}").alias(f"__t_{k}") for k in sums])
     before = Window.partitionBy(*by).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
@@ -66,9 +69,9 @@ def running(df: DataFrame, x: Column, tie: Sequence[str], sums: dict[str, Column
     within = Window.partitionBy(*by, "__at").orderBy(F.col("__x").asc_nulls_last(), *tie).rowsBetween(Window.unboundedPreceding, 0)
     local = placed.withColumns({f"__s_{k}": F.sum(f"__s_{k}").over(within) for k in sums})
     joined = _met(local, F.broadcast(starts), [*by, "__at"])
-    return joined.select(*df.columns, *[(F.col(f"__s_{k}") + F.col(f"__t_{k}")).alias(k) for k in sums])
+    return joined.select(*df.columns, *[(F.col(f"__s_{k}") + F.col(f"__t_{k}")).alias(k) for k in sums], *([F.col("__rows").alias(rows)] if rows else []))
 
 
-def ranked(df: DataFrame, x: Column, tie: Sequence[str], name: str, by: Sequence[str] = ()) -> DataFrame:
+def ranked(df: DataFrame, x: Column, tie: Sequence[str], name: str, by: Sequence[str] = (), rows: str | None = None) -> DataFrame:
     """Adds the 1-based rank of each row in the order of (``x``, ``tie``) within ``by``; null ``x`` is last."""
-    return running(df, x, tie, {name: F.lit(1).cast("long")}, by)
+    return running(df, x, tie, {name: F.lit(1).cast("long")}, by, rows)

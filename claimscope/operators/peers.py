@@ -88,20 +88,18 @@ def anomaly_v1(df: DataFrame, key: str, cfg: Config = DEFAULT) -> DataFrame:
     )
 
 
-def _peer_sizes(df: DataFrame, base: Column) -> DataFrame:
-    """Adds te_n and tax_n: scorable-base rows in the row's cell and taxonomy; 0 without a taxonomy."""
-    cells = df.where(base).groupBy("primary_taxonomy", "entity_type").agg(F.count(F.lit(1)).alias("te_n"))
-    both = cells.withColumn("tax_n", F.sum("te_n").over(Window.partitionBy("primary_taxonomy")))  # as many rows as cells
-    taxes = both.groupBy(F.col("primary_taxonomy").alias("__t")).agg(F.first("tax_n").alias("tax_n"))
-    side = both.select(F.col("primary_taxonomy").alias("__a"), F.col("entity_type").alias("__b"), "te_n")
-    met = df.join(side, (F.col("primary_taxonomy") == F.col("__a")) & F.col("entity_type").eqNullSafe(F.col("__b")), "left").join(taxes, F.col("primary_taxonomy") == F.col("__t"), "left")
-    return met.select(*df.columns, F.coalesce("te_n", F.lit(0)).alias("te_n"), F.coalesce("tax_n", F.lit(0)).alias("tax_n"))
+def _peer_sizes(df: DataFrame, base: Column, key: str) -> DataFrame:
+    """Adds te_n and tax_n: scorable-base rows in the row's cell and taxonomy. One exchange; rows without a taxonomy stand alone."""
+    group = F.when(_has_taxonomy(), F.col("primary_taxonomy")).otherwise(F.concat(F.lit("|"), F.col(key).cast("string")))
+    counted = F.when(base, F.lit(1))
+    sized = df.withColumn("__g", group).withColumn("tax_n", F.count(counted).over(Window.partitionBy("__g")))
+    return sized.withColumn("te_n", F.count(counted).over(Window.partitionBy("__g", "entity_type"))).drop("__g")
 
 
 def anomaly_v2(df: DataFrame, key: str, cfg: Config = DEFAULT) -> DataFrame:
     """Percentiles within (taxonomy, entity) if large enough, else among the rows that fell back to the taxonomy."""
     base = (F.col("gross_paid") > 0) & _has_taxonomy()
-    sized = _peer_sizes(df, base)
+    sized = _peer_sizes(df, base, key)
     te = base & (F.col("te_n") >= cfg.min_peers)
     tax = base & (F.col("tax_n") >= cfg.min_peers)
     placed = sized.withColumn("peer_basis", F.when(te, "taxonomy_x_entity").when(tax, "taxonomy_only").otherwise("too_small"))
@@ -121,7 +119,7 @@ def score_concepts(df: DataFrame, key: str, cfg: Config = DEFAULT) -> DataFrame:
     """
     gate = F.coalesce((F.col("service_volume") >= cfg.min_service_volume) & (F.col("total_claim_lines") >= cfg.min_claim_lines), F.lit(False))
     base = (F.col("gross_paid") > 0) & _has_taxonomy() & gate
-    sized = _peer_sizes(df, base).withColumn("use_te", F.col("te_n") >= cfg.min_peers)
+    sized = _peer_sizes(df, base, key).withColumn("use_te", F.col("te_n") >= cfg.min_peers)
     large = F.col("use_te") | (F.col("tax_n") >= cfg.min_peers)
     placed = sized.withColumns({
         "scorable": base & large,

@@ -24,10 +24,12 @@ def static(cells_df: DataFrame) -> DataFrame:
 
 
 def winsorise(df: DataFrame, columns: list[str], low: float = 0.01, high: float = 0.99) -> DataFrame:
-    """Clips to exact quantiles of the whole column (one row of bounds)."""
-    wide = df
-    for c in columns:
-        wide = wide.crossJoin(F.broadcast(order.quantiles(df, [], c, {f"__{c}0": low, f"__{c}1": high})))  # bounds: one row
+    """Clips to exact quantiles of the whole column; all columns' bounds come from one pass, as one row."""
+    df = df.persist()  # provider-years: read for the bounds and again for the result
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("x")) for c in columns])).alias("e")).select("e.c", "e.x")
+    ends = order.quantiles(long, ["c"], "x", {"lo": low, "hi": high})
+    bounds = ends.agg(*[F.max(F.when(F.col("c") == c, F.col(q))).alias(f"__{c}{i}") for c in columns for i, q in enumerate(("lo", "hi"))])
+    wide = df.crossJoin(F.broadcast(bounds))  # one row
     clip = lambda c: F.when(F.col(c).isNotNull(), F.greatest(F.least(F.col(c), F.col(f"__{c}1")), F.col(f"__{c}0"))).alias(c)
     return wide.select(*[clip(c) if c in columns else F.col(c) for c in df.columns])
 

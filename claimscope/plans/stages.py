@@ -141,14 +141,15 @@ def export(store: Store, cfg: Config = DEFAULT, preserve_excluded: bool = True)
     """The final provider and company lists, flat files by kind, and the outreach selection with its audit."""
     names = store.read("provider_dim").select("npi", "provider_name")
     projected = store.put("provider_leads", leads.provider_leads(store.read("fraud_leads_v3"), names, store.read("layer1_cases")))
-    write_lead_files(projected, f"{store.path}/flat", leads.lead_kinds())
-    write_csv(leads.final_leads(projected, cfg), f"{store.path}/final_leads.csv", ("priority_rank",), force_quote=("npi",))
+    most = F.col("net_paid").desc_nulls_last()
+    write_lead_files(projected.orderBy("priority_rank", F.col("anomaly_score").desc_nulls_last(), F.col("paid_after").desc_nulls_last(), most, "npi"), f"{store.path}/flat", leads.lead_kinds())
+    write_csv(leads.final_leads(projected, cfg).orderBy("priority_rank", most, "npi"), f"{store.path}/final_leads.csv", ("priority_rank",), force_quote=("npi",))
     if preserve_excluded:
-        write_csv(leads.excluded_leads(projected), f"{store.path}/high_precision_excluded_leads.csv", ("priority_rank",), force_quote=("npi",))
+        write_csv(leads.excluded_leads(projected).orderBy(F.col("paid_after").desc_nulls_last(), most, "npi"), f"{store.path}/high_precision_excluded_leads.csv", ("priority_rank",), force_quote=("npi",))
     tracked = store.read("company_lead_tracker")
     clean = companies.ranked(tracked.where(F.col("company_net_paid") >= cfg.min_net_paid))
     quoted = ("company_name", "npi_list", "related_entities")
-    clean = store.put("company_leads_clean", clean.join(store.read("related_entities"), "company_id", "left"))
+    clean = store.put("company_leads_clean", clean.join(store.read("related_entities"), "company_id", "left")).orderBy("rank")
     write_lead_files(clean, f"{store.path}/companies", {"company_leads_clean": F.lit(True), "triage_priority": F.col("priority_rank") <= 3, "probable_owner_backlog": F.col("priority_rank") == 4}, quoted)
     screened = leads.screened(clean, "company_name", "specialty")
     write_lead_files(screened, f"{store.path}/screened", {"final_leads": F.col("removed_category").isNull(), "removed_audit": F.col("removed_category").isNotNull()}, quoted)
