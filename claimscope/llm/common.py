@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -68,6 +69,12 @@ def discard(df: DataFrame) -> None:
         folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of plans that nothing refers to any more; it does so when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def input_partitions(df: DataFrame, text: str | None = None, bytes_each: int = 8 << 20) -> int:
     """Partitions of about ``bytes_each`` bytes of ``text``; one cheap scan, no cap."""
     total = df.agg(F.sum(F.octet_length(F.col(text)) + 16).alias("b")).first()["b"] or 0
