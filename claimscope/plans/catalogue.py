@@ -853,20 +853,6 @@ def feature_importance(t: Tables) -> DataFrame:
     return ml.importances(ml.fit_boosted(ml.stratified_split(labelled, "npi", "label"), numeric, ["primary_taxonomy", "entity_type"]), [*numeric, "primary_taxonomy", "entity_type"])
 
 
-def _provider_years(t: Tables) -> DataFrame:
-    return history.provider_years(_year_months(t), _facts(t).join(t.taxonomy(), "npi")).persist()
-
-
-@query()
-def provider_year_ranking(t: Tables) -> DataFrame:
-    return history.ranking(history.score_years(_provider_years(t)), None).select("rank", "npi", "year", "anomaly_score", "is_anomaly", "is_excluded", "top_driver", "description")
-
-
-@query()
-def provider_ranking(t: Tables) -> DataFrame:
-    return history.provider_ranking(history.score_years(_provider_years(t)), None)
-
-
 @query("", "window_start event_type n:i total:d", "select date_trunc('hour', ts) as window_start, event_type, count(*) as n, sum(value) as total from events group by 1, 2")
 def windowed_events(t: Tables) -> DataFrame:
     from claimscope.streaming.monthly import windowed_totals
