@@ -2,6 +2,8 @@
 
 A column is cut at approximate quantiles, which are one row a group; what is exact is computed
 within the cuts. So no task sorts a group's rows, and only cuts and their sums are broadcast.
+Approximate quantiles of the same rows differ with the order in which partial ones are merged, so the
+cuts are computed once and brought to the driver; a plan that computed them twice would count by two scales.
 Rows of one value stay together, except in running sums, whose ties are broken by a key.
 """
 
@@ -26,6 +28,11 @@ def _met(df: DataFrame, few: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.join(side, cond).drop(*[f"__by{i}" for i in range(len(by))])
 
 
+def _pinned(few: DataFrame) -> DataFrame:
+    """``few``, one row a group, as values: all that is placed by them is placed by the same ones."""
+    return few.sparkSession.createDataFrame(few.toArrow(), few.schema)
+
+
 def quantiles(df: DataFrame, by: Sequence[str], x: str, shares: dict[str, float]) -> DataFrame:
     """One row for each value of ``by``: the exact, interpolated quantiles of the non-null ``x``.
 
@@ -37,9 +44,9 @@ def quantiles(df: DataFrame, by: Sequence[str], x: str, shares: dict[str, float]
     near = [max(0.0, min(1.0, p + s * 4 / ACCURACY)) for p in ps for s in (-1, 1)]
     first = rows.groupBy(*by).agg(F.count("__x").alias("__n"), F.min("__x").alias("__lo"), F.max("__x").alias("__hi"), F.percentile_approx("__x", near, ACCURACY).alias("__q"))
     few = F.col("__n") < ACCURACY
-    bounds = first.select(*by, "__n", F.array(*[
+    bounds = _pinned(first.select(*by, "__n", F.array(*[
         F.struct(F.when(few, F.col("__lo")).otherwise(F.col("__q")[2 * i]).alias("lo"), F.when(few, F.col("__hi")).otherwise(F.col("__q")[2 * i + 1]).alias("hi")) for i in range(len(ps))
-    ]).alias("__b"))
+    ]).alias("__b")))
     met = _met(rows, bounds, by)
     below = met.groupBy(*by).agg(F.array(*[F.count_if(F.col("__x") < F.col("__b")[i]["lo"]) for i in range(len(ps))]).alias("__below"))
     inside = F.array_compact(F.array(*[F.when((F.col("__x") >= F.col("__b")[i]["lo"]) & (F.col("__x") <= F.col("__b")[i]["hi"]), F.lit(i)) for i in range(len(ps))]))
@@ -61,7 +68,7 @@ def running(df: DataFrame, x: Column, tie: Sequence[str], sums: dict[str, Column
     ``rows`` names a column for the number of rows of the group.
     """
     ready = df.withColumns({"__x": x.cast("double"), **{f"__s_{k}": v for k, v in sums.items()}})
-    cuts = ready.groupBy(*by).agg(F.percentile_approx("__x", [i / CUTS for i in range(1, CUTS)], 1000).alias("__cuts"), F.count(F.lit(1)).alias("__rows"))
+    cuts = _pinned(ready.groupBy(*by).agg(F.percentile_approx("__x", [i / CUTS for i in range(1, CUTS)], 1000).alias("__cuts"), F.count(F.lit(1)).alias("__rows")))
     placed = _met(ready, cuts, by).withColumn("__at", F.when(F.col("__x").isNull(), CUTS).otherwise(F.size(F.filter("__cuts", lambda c: c < F.col("__x"))))).drop("__cuts")
     totals = placed.groupBy(*by, "__at").agg(*[F.sum(f"__s_{k}").alias(f"__t_{k}") for k in sums])
     before = Window.partitionBy(*by).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)

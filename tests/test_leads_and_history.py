@@ -59,6 +59,20 @@ def test_quantiles_and_ranks_against_numpy(spark, monkeypatch):
     assert order.ranked(df.limit(0), F.col("x"), ["i"], "k").count() == 0 and order.quantiles(df.limit(0), [], "x", {"q": 0.5}).first()["q"] is None
 
 
+def test_ranks_and_quantiles_when_approximate_quantiles_vary(spark, monkeypatch):
+    def vary(xs):
+        return xs and [x + random.SystemRandom().random() * (20, -20)[i % 2 == 0] for i, x in enumerate(xs)]
+
+    real, varied = F.percentile_approx, F.udf(vary, "array<double>").asNondeterministic()
+    monkeypatch.setattr(order.F, "percentile_approx", lambda *args: varied(real(*args)))
+    monkeypatch.setattr(order, "ACCURACY", 50)
+    df = spark.range(1000).select("id", (F.col("id") * 7919 % 1009).cast("double").alias("x"))
+    x = sorted(i * 7919 % 1009 for i in range(1000))
+    ranks = {r["x"]: (r["k"], r["n"]) for r in order.ranked(df, F.col("x"), ["id"], "k", rows="n").collect()}
+    assert ranks == {v: (i + 1, 1000) for i, v in enumerate(x)}
+    assert order.quantiles(df, [], "x", {"mid": 0.5, "hi": 0.9}).first() == pytest.approx(tuple(np.quantile(x, [0.5, 0.9])))
+
+
 def test_curve_and_timing(spark):
     df = spark.createDataFrame([(0.9, 1, "20250101"), (0.9, 0, None), (0.5, 1, "20170101"), (0.1, 0, None)], "s double, y int, d string")
     curve = [(r["threshold"], r["n"], r["precision"], r["recall"]) for r in evaluation.precision_recall_curve(df, "s", "y").orderBy("n").collect()]
