@@ -71,6 +71,9 @@ def test_ranks_and_quantiles_when_approximate_quantiles_vary(spark, monkeypatch)
     ranks = {r["x"]: (r["k"], r["n"]) for r in order.ranked(df, F.col("x"), ["id"], "k", rows="n").collect()}
     assert ranks == {v: (i + 1, 1000) for i, v in enumerate(x)}
     assert order.quantiles(df, [], "x", {"mid": 0.5, "hi": 0.9}).first() == pytest.approx(tuple(np.quantile(x, [0.5, 0.9])))
+    lift = evaluation.lift_table(evaluation.binned(df.withColumn("hit", (F.col("id") % 50 == 0).cast("int")), "x", "id", "decile"), "decile")
+    place = {v: max(1, -(-i * 10 // 999)) for i, v in enumerate(x)}  # the SQL's bins
+    assert {r["decile"]: (r["n"], r["hits"]) for r in lift.collect()} == {d: (sum(p == d for p in place.values()), sum(place[i * 7919 % 1009] == d for i in range(0, 1000, 50))) for d in range(1, 11)}
 
 
 def test_curve_and_timing(spark):
