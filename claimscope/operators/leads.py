@@ -133,10 +133,12 @@ def model_leads(scores: DataFrame, lookups: DataFrame, top_k: int = 5000, min_sc
 
 
 def best_members(members: DataFrame, score: str = "score") -> DataFrame:
-    """company_id, best_npi and best_name (highest score, ties by npi), npi_list in that order, specialty_code of the member with most dollars."""
-    listed = F.array_sort(F.collect_list(F.struct((-F.coalesce(F.col(score), F.lit(-1.0))).alias("o"), "npi", "org_legal_name")))
-    agg = members.groupBy("company_id").agg(listed.alias("l"), F.max_by("primary_taxonomy", F.struct(F.coalesce(F.col("net_paid").cast("double"), F.lit(-1e300)), "npi")).alias("specialty_code"))
-    return agg.select("company_id", F.col("l")[0]["npi"].alias("best_npi"), F.col("l")[0]["org_legal_name"].alias("best_name"), F.array_join(F.transform("l", lambda x: x["npi"]), "|").alias("npi_list"), "specialty_code")
+    """company_id, best_npi and best_name (highest score, ties by the least number), npi_list (highest score, ties by npi as text), specialty_code of the member with most dollars."""
+    down = (-F.coalesce(F.col(score), F.lit(-1.0))).alias("o")
+    listed = F.array_sort(F.collect_list(F.struct(down, "npi")))
+    best = F.min(F.struct(down, F.length("npi").alias("digits"), "npi", "org_legal_name"))  # by length, then text: as numbers
+    agg = members.groupBy("company_id").agg(listed.alias("l"), best.alias("b"), F.max_by("primary_taxonomy", F.struct(F.coalesce(F.col("net_paid").cast("double"), F.lit(-1e300)), "npi")).alias("specialty_code"))
+    return agg.select("company_id", F.col("b.npi").alias("best_npi"), F.col("b.org_legal_name").alias("best_name"), F.array_join(F.transform("l", lambda x: x["npi"]), "|").alias("npi_list"), "specialty_code")
 
 
 def screened(leads: DataFrame, name: str, code: str) -> DataFrame:

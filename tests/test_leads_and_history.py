@@ -146,3 +146,8 @@ def test_yearly_facts(spark):
     assert (got["b"]["npi_age_days_at_first_claim"], got["b"]["billing_on_deactivated_npi"], got["b"]["left_censored"], got["b"]["in_leie"]) == (0, 0, False, False)
     years = history.enriched(history.summary(months), registry, listed).where("npi = 'a'").select(F.explode(F.array(*map(F.lit, (2017, 2018, 2019)))).alias("y"), "excl_date", "reinstate_date")
     assert {r["y"]: r["e"] for r in years.select("y", history.excluded_at_year_end(F.col("y")).alias("e")).collect()} == {2017: 0, 2018: 1, 2019: 0}
+
+
+def test_best_member_of_tied_scores_is_the_least_number(spark):
+    df = spark.createDataFrame([("c", "10", "ten", 0.5, 1.0, "T"), ("c", "9", "nine", 0.5, 2.0, "U"), ("c", "8", "eight", 0.1, 0.0, "T")], "company_id string, npi string, org_legal_name string, score double, net_paid double, primary_taxonomy string")
+    assert leads.best_members(df).first().asDict() == {"company_id": "c", "best_npi": "9", "best_name": "nine", "npi_list": "10|9|8", "specialty_code": "U"}
