@@ -5,8 +5,11 @@ The span finder knows nothing of a template but ``render(turns) -> str``. It ren
 the new turn's span is what was added; where it doesn't, the template has rewritten history, and
 the turn is reported instead of being given a wrong span. Inside a span the text is found by
 rendering the turn with the texts "x" and "y": what both outputs share at either end is the frame.
-A template that declares that it renders from left to right (``Template``, the default one) gives
-what a turn adds to a prefix, so long conversations take time in proportion to their length.
+That is done for every prefix of every conversation of at most ``WHOLE`` turns, whatever the template.
+Rendering all prefixes takes time in the square of the turns, so of longer conversations the prefixes of
+a template that declares that it renders from left to right (``Template``, the default one) are put
+together from what each turn adds, and whole renderings of 1, 2, 4, ... and all turns are
+compared with them; if one differs, the declaration is wrong and every prefix is rendered after all.
 
 Defined results: null roles and texts are empty; turns are taken in the order (turn, role, text),
 nulls first, so ties and repeated rows give one result; a conversation without rows has no
@@ -29,6 +32,8 @@ from claimscope.llm.common import tune
 Turn = tuple[str, str]
 
 START, END = "<|im_start|>", "<|im_end|>"
+#: Conversations of so many turns have every prefix rendered whole.
+WHOLE = 1000
 _OPEN, _OPENED = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
 _TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.S)
 
@@ -91,11 +96,13 @@ def spans(turns: Sequence[Turn], render: Callable[[Sequence[Turn]], str] = chatm
     """The whole output; for each turn (start, end, text start, text end); the turns that rewrote history.
 
     A turn that rewrote history has the span (-1, -1, -1, -1), as have those before it whose
-    characters it changed. A Template renders each prefix from the one before, so the work is linear in
-    the conversation; any other function renders every prefix anew.
+    characters it changed. Every prefix is rendered, but for a Template and more than WHOLE turns,
+    see _linear().
     """
-    if isinstance(render, Template):
-        return _linear(turns, render)
+    if isinstance(render, Template) and len(turns) > WHOLE:
+        made = _linear(turns, render)
+        if made is not None:
+            return made
     found: list[tuple[int, int, int, int]] = []
     rewrote: list[int] = []
     before = render(turns[:0])
@@ -113,8 +120,8 @@ def spans(turns: Sequence[Turn], render: Callable[[Sequence[Turn]], str] = chatm
     return before, found, rewrote
 
 
-def _linear(turns: Sequence[Turn], template: Template) -> tuple[str, list[tuple[int, int, int, int]], list[int]]:
-    """As spans(); a prefix and its successor share all but what the turn adds, so only that is compared."""
+def _linear(turns: Sequence[Turn], template: Template) -> tuple[str, list[tuple[int, int, int, int]], list[int]] | None:
+    """As spans(), from what each turn adds; None if a rendering of 0, 1, 2, 4, ... or all turns isn't the sum of that."""
     out, state, at = [template.opening], template.state, len(template.opening)
     found = []
     for role, text in turns:
@@ -124,7 +131,11 @@ def _linear(turns: Sequence[Turn], template: Template) -> tuple[str, list[tuple[
         found.append((at, at + len(now), at + head, at + len(now) - (len(x) - head - 1)))
         out.append(now)
         at += len(now)
-    return "".join(out), found, []
+    whole = "".join(out)
+    sizes = {0, len(turns), *(1 << i for i in range(len(turns).bit_length()))}
+    if any(template(turns[:n]) != whole[: found[n - 1][1] if n else len(template.opening)] for n in sizes):
+        return None
+    return whole, found, []
 
 
 def _common(a: str, b: str) -> int:

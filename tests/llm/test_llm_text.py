@@ -107,6 +107,26 @@ def test_templates_and_black_boxes_agree():
         assert chat_format.spans(turns, template) == chat_format.spans(turns, lambda t, f=template: f(t))
 
 
+def test_templates_that_rewrite_history_are_found(monkeypatch):
+    class Last(chat_format.Template):  # declares left to right, but shows only the last text
+        def __call__(self, turns):
+            return "".join(f"[{r}]{t if i == len(turns) - 1 else '...'};" for i, (r, t) in enumerate(turns))
+
+    last = Last(lambda state, turn: (f"[{turn[0]}]{turn[1]};", state))
+    for whole in (chat_format.WHOLE, 2):
+        monkeypatch.setattr(chat_format, "WHOLE", whole)
+        made = chat_format.format_one([("user", "hello"), ("assistant", "hi"), ("user", "what?")], last)
+        assert made["rewrote"] == [1, 2] and made["loss_spans"] == []
+
+
+def test_every_prefix_of_the_default_template_is_rendered(monkeypatch):
+    seen = []
+    render = chat_format.Template.__call__
+    monkeypatch.setattr(chat_format.Template, "__call__", lambda self, turns: seen.append(len(turns)) or render(self, turns))
+    chat_format.format_one([("user", "q"), ("assistant", "a")] * 20)
+    assert set(seen) == set(range(41)) and len(seen) == 1 + 3 * 40
+
+
 def test_chat_table(spark):
     rows = [(1, 1, "assistant", None), (1, 0, None, "q"), (2, 0, "assistant", "a"), (2, 0, "assistant", "a"), (None, 0, "user", "<|im_start|>")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
