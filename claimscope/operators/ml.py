@@ -113,14 +113,22 @@ def stratified_split(df: DataFrame, key: str, label: str, cfg: Config = DEFAULT)
 
 
 def fit_boosted(df: DataFrame, numeric: list[str], categorical: list[str], label: str = "label", rounds: int = 20, cfg: Config = DEFAULT) -> PipelineModel:
-    """Gradient-boosted trees with class weights; rows with is_val stop the rounds early."""
+    """Gradient-boosted trees with class weights; rows with is_val stop the rounds early.
+
+    Every stage reads ``df``, so its columns in use are kept once (a row a key) instead of being derived from
+    claims by each of them.
+    """
+    df = df.select(*numeric, *categorical, label, "is_val").persist()
     counts = df.where("not is_val").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("p")).first()
     weight = (counts["n"] - counts["p"]) / max(counts["p"], 1)
     ready = df.withColumns({c: F.col(c).cast("double") for c in numeric}).withColumn("weight", F.when(F.col(label) == 1, weight).otherwise(1.0))
     stages = [Imputer(strategy="median", inputCols=numeric, outputCols=[f"{c}__f" for c in numeric])]
     stages += [StringIndexer(inputCol=c, outputCol=f"{c}__i", handleInvalid="keep") for c in categorical]
     stages += [VectorAssembler(inputCols=[*[f"{c}__f" for c in numeric], *[f"{c}__i" for c in categorical]], outputCol="features", handleInvalid="keep"), GBTClassifier(labelCol=label, weightCol="weight", validationIndicatorCol="is_val", maxIter=rounds, maxDepth=4, maxBins=64, seed=cfg.seed)]
-    return Pipeline(stages=stages).fit(ready)
+    try:
+        return Pipeline(stages=stages).fit(ready)
+    finally:
+        df.unpersist()
 
 
 def score_boosted(model: PipelineModel, df: DataFrame, numeric: list[str], key: str) -> DataFrame:

@@ -841,7 +841,7 @@ def isolation_forest(t: Tables) -> DataFrame:
 def boosted_tree_scores(t: Tables) -> DataFrame:
     numeric = list(peers.FEATURES)
     labelled = t.provider_scoring().withColumn("label", (F.col("npi").cast("bigint") % 50 == 0).cast("int"))
-    split = ml.stratified_split(labelled, "npi", "label")
+    split = ml.stratified_split(labelled, "npi", "label").persist()  # fitted and scored
     model = ml.fit_boosted(split, numeric, ["primary_taxonomy", "entity_type"])
     return ml.score_boosted(model, split, numeric, "npi")
 

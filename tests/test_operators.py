@@ -90,6 +90,18 @@ def test_split_is_stratified_and_stable(spark):
     assert {r["label"]: r["n"] for r in a.where("is_val").groupBy("label").agg(F.count("*").alias("n")).collect()} == {0: 180, 1: 20}
 
 
+def test_boosting_derives_its_rows_once(spark):
+    derived = spark.sparkContext.accumulator(0)
+
+    def count(i):
+        derived.add(1)
+        return float(i * 37 % 101)
+
+    df = spark.range(200).select(F.col("id").cast("string").alias("npi"), (F.col("id") % 10 == 0).cast("int").alias("label"), F.udf(count, "double").asNondeterministic()("id").alias("x"), F.lit("a").alias("kind"))
+    model = ml.fit_boosted(df.withColumn("is_val", F.col("npi").cast("int") % 5 == 1), ["x"], ["kind"], rounds=2)
+    assert derived.value == 200 and ml.importances(model, ["x", "kind"]).count() == 2
+
+
 def test_screening_reconciles(spark):
     df = spark.createDataFrame([("City of X", ""), ("Acme", "")], "name string, specialty string")
     kept, removed = screening.screen(df, "name", "specialty", check=True)
