@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -51,11 +50,23 @@ def scratch():
             discard(table)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back: lineage ends at a replicated table."""
+#: Deletes the shuffle files of a query when it ends. Without it they go when the driver happens to collect garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, label: str, clean: bool = False) -> DataFrame:
+    """Writes ``df`` to the shared folder and reads it back: lineage ends at a replicated table. With ``clean``
+    the shuffle files of the write are deleted at its end, for plans that nothing else reads."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    if clean:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if clean:
+            spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     if _scopes:
         _scopes[-1].append(out)
@@ -69,12 +80,6 @@ def discard(df: DataFrame) -> None:
         folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of plans that nothing refers to any more; it does so when the driver collects garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def input_partitions(df: DataFrame, text: str | None = None, bytes_each: int = 8 << 20) -> int:
     """Partitions of about ``bytes_each`` bytes of ``text``; one cheap scan, no cap."""
     total = df.agg(F.sum(F.octet_length(F.col(text)) + 16).alias("b")).first()["b"] or 0

@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimscope.llm.common import discard, materialize, release, tune
+from claimscope.llm.common import discard, materialize, tune
 
 MODULUS, HELD_OUT = 7, 2
 #: Text of one batch, and keys of one range, in about these numbers.
@@ -672,10 +672,9 @@ def learned(docs: DataFrame) -> dict:
     size = rows.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "train_docs", "train_tokens"))).first()
     texts, tokens = size["train_docs"], size["train_tokens"]
     bits = min(31, max(0, math.ceil(math.log2(max(1, 2 * size["n"] / RANGE)))))
-    answers = materialize(answered(asked(rows, bits)), "lm-answers")
-    release(rows.sparkSession)  # the questions' shuffle is the largest, and isn't read again
+    answers = materialize(answered(asked(rows, bits)), "lm-answers", clean=True)  # the questions' shuffle is the largest, and isn't read again
     distinct = answers.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
-    full = materialize(counted(rows, answers), "lm-counted")
+    full = materialize(counted(rows, answers), "lm-counted", clean=True)
     for done in (rows, answers):
         discard(done)
     model = learn_decisions(*statistics(full, texts, tokens))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimscope.llm import lm_mixing
+from claimscope.llm.common import CLEANUP
 
 DOCS = "doc_id long, text string"
 HELD = "doc_id % 7 = 2"
@@ -125,3 +126,20 @@ def test_empty_and_unseen(spark):
 def test_batches_of_numbers_round_trip():
     arrays = [np.arange(0), np.array([0]), np.array([3, 70000, 1 << 40]), np.frombuffer(b"a\nb", np.uint8)]
     assert all(a.tolist() == b.tolist() for a, b in zip(arrays, lm_mixing.opened(lm_mixing.shut(*arrays)), strict=True))
+
+
+def test_shuffles_of_stored_tables_are_deleted_at_once(spark, monkeypatch):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+    seen, counted, statistics = [], lm_mixing.counted, lm_mixing.statistics
+    monkeypatch.setattr(lm_mixing, "counted", lambda *a: seen.append(files()) or counted(*a))
+    monkeypatch.setattr(lm_mixing, "statistics", lambda *a: seen.append(files()) or statistics(*a))
+    monkeypatch.setattr(lm_mixing, "packed", lambda docs, run=lm_mixing.packed: seen.append(files()) or run(docs))
+    df = spark.createDataFrame([(i, f"some words and {i}") for i in range(200)], DOCS).repartition(4)
+    lm_mixing.learned(lm_mixing._docs(df, "doc_id", "text", F.lit(True), True))
+    before, questions, all_ = seen
+    new = {name.split("_")[1] for name in (questions | all_) - before}
+    assert len(new) <= 3, new  # the input's and the small sums' shuffles, not the questions' nor the counts'
+    assert spark.conf.get(CLEANUP) == "false"
