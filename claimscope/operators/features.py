@@ -121,6 +121,11 @@ def rare_pairs(pairs: DataFrame, cell: list[str], who: str, cfg: Config = DEFAUL
 
 def rare_share(codes: DataFrame, dims: DataFrame, rare: DataFrame, cell: list[str], key: str, name: str) -> DataFrame:
     """The share of a key's positive dollars on codes that are rare in its cell."""
-    placed = codes.join(dims.select(key, *cell), key).join(rare, [*cell, "hcpcs_code"], "left")
+    return share_of_rare(codes.join(dims.select(key, *cell), key), rare, cell, key, name)
+
+
+def share_of_rare(placed: DataFrame, rare: DataFrame, cell: list[str], key: str, name: str) -> DataFrame:
+    """As rare_share(), from by_code() sums with their cell."""
+    placed = placed.join(rare, [*cell, "hcpcs_code"], "left")
     g = F.col("gross_paid_code").cast("double")
     return placed.groupBy(key).agg(ratio(F.sum(F.when(F.col("rare"), g).otherwise(0.0)), F.sum(g)).alias(name))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimscope.functions.numbers import log1p_positive
+from claimscope.llm.common import discard, materialize
 from claimscope.operators import companies, features
 
 CARRIED = {"primary_taxonomy": "taxonomy_code", "entity_type": "entity_type", "practice_state": "provider_state", "org_legal_name": "org_legal_name"}
@@ -90,6 +91,10 @@ class Tables:
         rates = features.rate_features(claims, key, codes=codes)
         places = dims.select(key, F.col("primary_taxonomy").alias("taxonomy_code"), "entity_type")
         rare = features.rare_share(codes, places, features.rare_pairs(codes.join(places, key), cell, key), cell, key, "rare_share")
+        return self._frame(rates, dims, rare, key)
+
+    @staticmethod
+    def _frame(rates: DataFrame, dims: DataFrame, rare: DataFrame, key: str) -> DataFrame:
         met = rates.join(dims, key).join(rare, key, "left").withColumn("log_max_single_month", log1p_positive(F.col("max_single_month_net_paid")))
         return met.select(*[F.round(F.col(c).cast("double"), 6).alias(c) if t.startswith(("double", "decimal")) else F.col(c) for c, t in met.dtypes])
 
@@ -98,6 +103,29 @@ class Tables:
         dims = self.providers().select(F.col("npi").alias("billing_npi"), "primary_taxonomy", "entity_type")
         return self._scoring(claims, "billing_npi", dims).withColumnRenamed("billing_npi", "npi")
 
+    def stored_scoring(self) -> DataFrame:
+        """provider_scoring() for models, which read it many times: its steps are stored tables, and each step's
+        shuffle files are deleted before the next one."""
+        key, cell = "billing_npi", ["taxonomy_code", "entity_type"]
+        store = lambda df, label: materialize(df, f"scoring-{label}", clean=True)
+        dims = self.providers().select(F.col("npi").alias(key), "primary_taxonomy", "entity_type")
+        places = dims.select(key, F.col("primary_taxonomy").alias("taxonomy_code"), "entity_type")
+        claims = store(self.claims().select(key, "hcpcs_code", "service_month", "total_paid", "total_claim_lines", "total_patients"), "claims")
+        dealt = claims.repartition(F.col(key))  # one exchange serves all sums of a key
+        codes = store(features.by_code(dealt, key), "codes")
+        rates = store(features.rate_features(dealt, key, codes=codes, months=features.by_month(dealt, key)), "rates")
+        discard(claims)
+        placed = store(codes.join(places, key), "placed")
+        discard(codes)
+        rare = store(features.rare_pairs(placed, cell, key), "pairs")
+        share = store(features.share_of_rare(placed, rare, cell, key, "rare_share"), "rare")
+        for done in (placed, rare):
+            discard(done)
+        frame = store(self._frame(rates, dims, share, key).withColumnRenamed(key, "npi"), "frame")
+        for done in (rates, share):
+            discard(done)
+        return frame
+
     def company_claims(self) -> DataFrame:
         return self.claims().join(self.company_map().withColumnRenamed("npi", "billing_npi"), "billing_npi")
 

@@ -840,7 +840,7 @@ def isolation_forest(t: Tables) -> DataFrame:
 @query()
 def boosted_tree_scores(t: Tables) -> DataFrame:
     numeric = list(peers.FEATURES)
-    labelled = t.provider_scoring().withColumn("label", (F.col("npi").cast("bigint") % 50 == 0).cast("int"))
+    labelled = t.stored_scoring().withColumn("label", (F.col("npi").cast("bigint") % 50 == 0).cast("int"))
     split = ml.stratified_split(labelled, "npi", "label").persist()  # fitted and scored
     model = ml.fit_boosted(split, numeric, ["primary_taxonomy", "entity_type"])
     return ml.score_boosted(model, split, numeric, "npi")
@@ -849,7 +849,7 @@ def boosted_tree_scores(t: Tables) -> DataFrame:
 @query()
 def feature_importance(t: Tables) -> DataFrame:
     numeric = list(peers.FEATURES)
-    labelled = t.provider_scoring().withColumn("label", (F.col("npi").cast("bigint") % 50 == 0).cast("int"))
+    labelled = t.stored_scoring().withColumn("label", (F.col("npi").cast("bigint") % 50 == 0).cast("int"))
     return ml.importances(ml.fit_boosted(ml.stratified_split(labelled, "npi", "label"), numeric, ["primary_taxonomy", "entity_type"]), [*numeric, "primary_taxonomy", "entity_type"])
 
 

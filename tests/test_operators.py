@@ -146,3 +146,25 @@ def test_descriptions_summaries_and_reasons(spark):
     rules = spark.createDataFrame([(True, False, 1234.4, 2, True, False, 120.0, 1.0), (None, None, None, None, False, False, 1.0, 1.0)], "billed_after_exclusion boolean, excluded_after_billing boolean, paid_after_exclusion double, n_months_after int, rule_implausible_lines_per_patient boolean, rule_implausible_paid_per_line boolean, lines_per_patient_instance double, paid_per_claim_line double")
     got = [r["r"] for r in rules.select(peers.rule_reasons().alias("r")).collect()]
     assert got == [["billed_after_exclusion(paid_after=$1,234,months=2)", "implausible_lines_per_patient(=120.0)"], []]
+
+
+def test_models_read_a_stored_frame_equal_to_the_scoring_frame(spark, monkeypatch):
+    from claimscope.operators import ml
+    from claimscope.plans import catalogue
+    from claimscope.plans.adapter import Tables
+
+    class Seen(Exception):
+        pass
+
+    def seen(df, *args, **kwargs):
+        raise Seen(df._jdf.queryExecution().analyzed().toString())
+
+    monkeypatch.setattr(ml, "fit_boosted", seen)
+    for name in ("boosted_tree_scores", "feature_importance"):
+        with pytest.raises(Seen) as plan:
+            catalogue.queries()[name](spark, "/root/testdata/sf0.001")
+        assert "l_orderkey" not in str(plan.value)  # claims aren't joined anew by each reading
+    t = Tables(spark, "/root/testdata/sf0.001")
+    plain, stored = t.provider_scoring(), t.stored_scoring()
+    assert stored.columns == plain.columns and plain.count() == 150
+    assert plain.exceptAll(stored).count() == 0 == stored.exceptAll(plain).count()
