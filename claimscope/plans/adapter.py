@@ -24,7 +24,10 @@ class Tables:
     def claims(self) -> DataFrame:
         """Line items as claims; a third of the first lines that were returned are reversals."""
         li, o, c, n = (self.read(t) for t in ("lineitem", "orders", "customer", "nation"))
-        joined = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+        return self._as_claims(li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey")))
+
+    @staticmethod
+    def _as_claims(joined: DataFrame) -> DataFrame:
         reversal = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1)
         return joined.select(
             F.col("c_custkey").cast("string").alias("billing_npi"), F.col("l_partkey").cast("string").alias("hcpcs_code"), F.date_format("l_shipdate", "yyyy-MM").alias("service_month"),
@@ -110,7 +113,9 @@ class Tables:
         store = lambda df, label: materialize(df, f"scoring-{label}", clean=True)
         dims = self.providers().select(F.col("npi").alias(key), "primary_taxonomy", "entity_type")
         places = dims.select(key, F.col("primary_taxonomy").alias("taxonomy_code"), "entity_type")
-        claims = store(self.claims().select(key, "hcpcs_code", "service_month", "total_paid", "total_claim_lines", "total_patients"), "claims")
+        li, o, c, n = (self.read(x) for x in ("lineitem", "orders", "customer", "nation"))
+        placed = o.join(c.join(n, F.col("c_nationkey") == F.col("n_nationkey")), F.col("o_custkey") == F.col("c_custkey"))
+        claims = store(self._as_claims(li.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))).select(key, "hcpcs_code", "service_month", "total_paid", "total_claim_lines", "total_patients"), "claims")
         dealt = claims.repartition(F.col(key))  # one exchange serves all sums of a key
         codes = store(features.by_code(dealt, key), "codes")
         rates = store(features.rate_features(dealt, key, codes=codes, months=features.by_month(dealt, key)), "rates")
