@@ -11,7 +11,15 @@ and the last token were seen and of how the two tokens before were coded; for th
 word, the bits of the byte so far with the place in the word, with the last one, two and three
 bytes, and with the whole word so far. Predictions are mixed in the logistic domain by a weight
 set that a gate selects, learned online, and refined by an adaptive map from the mixture to the
-observed rate. -log2 over all decisions and shares, divided by the bytes, is bits per byte.
+observed rate.
+
+Which token it is, is mixed once more, in the linear domain, where no sum over all words is needed:
+the decisions' probability, the token's share after the last token and among all tokens, and its share
+after the last token and among all tokens of its own text so far, which also tells words that the
+training texts don't have. A gate selects the weights, learned from all training texts, each
+without its own occurrences; a prediction that has nothing to go by (known before the token) sleeps.
+While a text is scored, its tables grow with each token, and the weights move by how much each
+prediction was due and used so far. -log2 over all tokens, divided by the bytes, is bits per byte.
 
 What is gathered grows with the input: exact counts of all words, pairs and triples of the training
 texts, in ranges of their hashes (words by 64 bits; pairs and triples by 32 bits within a range of about
@@ -24,7 +32,8 @@ the texts, which the online mixer passes in order; a token's own occurrence is t
 first, so that a text doesn't vouch for itself. The speller learns from the words that occur once,
 also by slices and in order. A state in which asking for the longer context costs more bits than
 it saves, over all training texts, skips that decision. Words excluded by a decision keep their
-share in the next one, so probabilities of all token sequences sum to at most one.
+share in the next one, so probabilities of all token sequences sum to at most one, and so do those
+of the last mixture, whose weights sum to one before each token.
 
 Defined results: a null text is empty, only the end is scored; a null id is a row like any other;
 without any training row the base has c = 0, N = 0, V = 0, and a word is spelled by bits of
@@ -35,9 +44,10 @@ words restart the speller's contexts every ``PIECE`` bytes.
 
 from __future__ import annotations
 
+import ctypes
 import math
 import pickle
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,12 +76,28 @@ SLICES = 16
 #: Classes of the last two tokens' count, of the last one's, of the two levels before (START: before the text).
 PAIRS, LASTS, LEVELS, START = 12, 16, 4, 4
 CELLS = PAIRS * LASTS * 25
+#: The last mixture: its predictions, their classes of likelihood, its gates, tokens taken at once, and the
+#: tokens that the learned weights count for against what a gate, and a text so far, shows.
+MIXED, KINDS, DOORS, CHUNK = 5, 11, 40, 1 << 16
+FIRM, ROUNDS = 16, 60
 END = b""
 LN10 = math.log(10)
 
 _U = np.uint64
 
 
+def in_arrow(df: DataFrame, run: Callable, schema: str | T.StructType) -> DataFrame:
+    """mapInArrow whose worker gives freed memory back at a task's end, as workers outlive their tasks."""
+
+    def lean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of glibc only
+            trim(0)
+
+    return df.mapInArrow(lean, schema)
+
+
 def _hash(x: np.ndarray, order: int) -> np.ndarray:
     x = (x + _U(0x9E3779B97F4A7C15 * (order + 1) & (1 << 64) - 1)) * _U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> _U(29))) * _U(0x94D049BB133111EB)
@@ -231,7 +257,7 @@ def _added(df: DataFrame, length: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array([t.tobytes() for t in totals.values()], pa.binary())], names=["block", "sums"])
 
     out = np.zeros(length)
-    for r in df.repartition("block").mapInArrow(add, _sums_schema()).toLocalIterator():
+    for r in in_arrow(df.repartition("block"), add, _sums_schema()).toLocalIterator():
         part = np.frombuffer(r["sums"], "f8")
         out[r["block"] * BLOCK : r["block"] * BLOCK + len(part)] += part
     return out
@@ -252,11 +278,11 @@ def learn_speller(novel: DataFrame) -> dict:
         yield from _blocks(counts.ravel())
 
     speller = empty_speller()
-    speller["n0"], speller["n1"] = _added(novel.mapInArrow(tables, _sums_schema()), 2 * STARTS[-1]).astype(np.float32).reshape(2, -1)
+    speller["n0"], speller["n1"] = _added(in_arrow(novel, tables, _sums_schema()), 2 * STARTS[-1]).astype(np.float32).reshape(2, -1)
     dealt = novel.repartition("slice").sortWithinPartitions("slice", "word")
     for fit, size, finish in ((_online, GATES * ORDERS + 1, _averaged), (_observed, 2 * CLASSES * STEPS, _rates)):
         shared = novel.sparkSession.sparkContext.broadcast(speller)
-        rows = dealt.mapInArrow(_by_slice(fit, shared, size), "slice int, sums binary").collect()  # one row a slice
+        rows = in_arrow(dealt, _by_slice(fit, shared, size), "slice int, sums binary").collect()  # one row a slice
         if rows:
             finish(speller, np.sum([np.frombuffer(r["sums"]) for r in sorted(rows, key=lambda r: r["slice"])], axis=0))
     return speller
@@ -420,7 +446,7 @@ def packed(docs: DataFrame) -> DataFrame:
         keys = pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys if isinstance(keys, pa.Array) else keys.chunk(0))
         return pa.RecordBatch.from_arrays([keys, *(pa.array([int(v)], pa.int64()) for v in (sizes.sum(), trains.sum(), sizes[trains > 0].sum())), pa.array([blob], pa.binary())], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return in_arrow(docs, run, schema)
 
 
 def asked(rows: DataFrame, bits: int) -> DataFrame:
@@ -445,7 +471,7 @@ def asked(rows: DataFrame, bits: int) -> DataFrame:
                         out = shut(*(x for p in parts for x in p))
                         yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([name], pa.int64()), pa.array([out], pa.binary())], names=["range", "batch", "blob"])
 
-    return rows.select("batch", "blob").mapInArrow(run, "range int, batch long, blob binary")
+    return in_arrow(rows.select("batch", "blob"), run, "range int, batch long, blob binary")
 
 
 def answered(questions: DataFrame) -> DataFrame:
@@ -479,7 +505,7 @@ def answered(questions: DataFrame) -> DataFrame:
     def out(name: int, r: int, words: int, blob: bytes) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), pa.array([r], pa.int32()), pa.array([words], pa.int64()), pa.array([blob], pa.binary())], names=["batch", "range", "words", "blob"])
 
-    return questions.repartition("range").sortWithinPartitions("range", "batch").mapInArrow(run, "batch long, range int, words long, blob binary")
+    return in_arrow(questions.repartition("range").sortWithinPartitions("range", "batch"), run, "batch long, range int, words long, blob binary")
 
 
 def counted(rows: DataFrame, answers: DataFrame) -> DataFrame:
@@ -510,7 +536,17 @@ def counted(rows: DataFrame, answers: DataFrame) -> DataFrame:
         blob = shut(trains, reported, slices, size, nbytes, n, data, index, *counts)
         return pa.RecordBatch.from_arrays([own[0], pa.array([novel], pa.list_(pa.binary())), pa.array([blob], pa.binary())], names=schema.names)
 
-    return both.repartition("batch").sortWithinPartitions("batch", "range").mapInArrow(run, schema)
+    return in_arrow(both.repartition("batch").sortWithinPartitions("batch", "range"), run, schema)
+
+
+def text_runs(size: np.ndarray) -> Iterator[tuple[slice, slice]]:
+    """Runs of whole texts of about ``CHUNK`` tokens, and their tokens."""
+    ends = np.cumsum(size)
+    a = at = 0
+    while a < len(size):
+        b = max(a + 1, int(np.searchsorted(ends, at + CHUNK, "right")))
+        yield slice(a, b), slice(at, int(ends[b - 1]))
+        a, at = b, int(ends[b - 1])
 
 
 # --- the decisions -------------------------------------------------------------------------------
@@ -544,18 +580,21 @@ def statistics(rows: DataFrame, texts: int, tokens: int) -> tuple[np.ndarray, np
         sums = np.zeros(split + 3 * CELLS * LEVELS)
         for batch in batches:
             for blob in batch.column(0).to_pylist():
-                trains, _, slices, size, _, _, _, index, c0, c1, c2 = (x.astype(np.int64) for x in opened(blob))
-                level, (k0, k1, k2, t1, t2), cell = states(c0[index], c1, c2, size, texts, np.repeat(trains, size))
-                at, some = cell * LEVELS + level, np.repeat(trains > 0, size)
-                sums[:split] += np.bincount((np.repeat(slices, size) * CELLS * LEVELS + at)[some], minlength=split)
-                for order, (n, total) in enumerate(((k0, np.int64(max(tokens - 1, 1))), (k1, t1), (k2, t2))):
-                    named = some & (level > order)
-                    total = np.broadcast_to(total, n.shape)[named]
-                    bits = np.rint(np.log2(total / n[named]) * 65536)  # whole numbers: sums don't depend on their order
-                    sums[split + order * CELLS * LEVELS :][: CELLS * LEVELS] += np.bincount(at[named], bits, CELLS * LEVELS)
+                trains, _, slices, size, _, _, _, index, c0, c1, c2 = opened(blob)
+                trains, slices, size = (x.astype(np.int64) for x in (trains, slices, size))
+                for ts, at in text_runs(size):
+                    own = np.repeat(trains[ts], size[ts])
+                    level, (k0, k1, k2, t1, t2), cell = states(*(x.astype(np.int64) for x in (c0[index[at]], c1[at], c2[at])), size[ts], texts, own)
+                    state, some = cell * LEVELS + level, own > 0
+                    sums[:split] += np.bincount((np.repeat(slices[ts], size[ts]) * CELLS * LEVELS + state)[some], minlength=split)
+                    for order, (n, total) in enumerate(((k0, np.int64(max(tokens - 1, 1))), (k1, t1), (k2, t2))):
+                        named = some & (level > order)
+                        total = np.broadcast_to(total, n.shape)[named]
+                        bits = np.rint(np.log2(total / n[named]) * 65536)  # whole numbers: sums don't depend on their order
+                        sums[split + order * CELLS * LEVELS :][: CELLS * LEVELS] += np.bincount(state[named], bits, CELLS * LEVELS)
         yield from _blocks(sums)
 
-    sums = _added(rows.select("blob").mapInArrow(run, _sums_schema()), split + 3 * CELLS * LEVELS)
+    sums = _added(in_arrow(rows.select("blob"), run, _sums_schema()), split + 3 * CELLS * LEVELS)
     return sums[:split].reshape(SLICES, CELLS, LEVELS), sums[split:].reshape(3, CELLS, LEVELS) / 65536
 
 
@@ -623,6 +662,142 @@ def mixed_decision(ones: np.ndarray, zeros: np.ndarray, parts: tuple) -> np.ndar
     return _refined(mixture(stretches()), last, (hit_ones + 4 * identity_map()) / (hits + 4))
 
 
+# --- the last mixture ----------------------------------------------------------------------------
+
+
+def places(group: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each token: how many of its group came before it, how many there are, and the group's number. Groups are below ``most``."""
+    width = len(group).bit_length()
+    if most.bit_length() + width < 63:
+        both = np.sort((group << width) | np.arange(len(group)))
+        at, group = both & ((1 << width) - 1), both >> width
+    else:
+        at = np.argsort(group, kind="stable")
+        group = group[at]
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    sizes = np.diff(np.append(first, len(group)))
+    number = np.repeat(np.arange(len(first)), sizes)
+    out = [np.empty_like(at) for _ in range(3)]
+    for x, values in zip(out, (np.arange(len(at)) - first[number], sizes[number], number)):
+        x[at] = values
+    return tuple(out)
+
+
+def own_counts(index: np.ndarray, size: np.ndarray, n_words: int, whole: bool) -> tuple[np.ndarray, ...]:
+    """What each token's text shows before it: the pair and how often the last token was followed, the word and
+    the tokens; with ``whole``, then how often its whole text has the word, the pair and the triple."""
+    n, texts, starts = len(index), len(size), np.cumsum(size) - size
+    rank, words, number = places(np.repeat(np.arange(texts), size) * n_words + index, texts * n_words)
+    out, followed, total = [], np.empty_like(rank), [words]
+    followed[1:] = rank[:-1]
+    followed[starts] = 0
+    for _ in range(1 + whole):  # the pair's group is that of the last token with the word, the triple's that of the last pair
+        before = np.empty_like(number)
+        before[1:] = number[:-1]
+        before[starts] = n + np.arange(texts)
+        again, same, number = places(before * n_words + index, (n + texts) * n_words)
+        out.append(again)
+        total.append(same)
+    return (out[0], followed, rank, np.arange(n) - np.repeat(starts, size), *(total if whole else ()))
+
+
+def known_shares(counts: tuple, tokens: np.ndarray, own: tuple) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The token's share after the last token, among all tokens, in its text after the last token and in its text; and
+    whether there is such a prediction at all, which doesn't depend on the token."""
+    c0, c1, _, t1, _ = counts
+    out = []
+    for n, total in ((c1, t1), (c0, tokens), own[:2], own[2:4]):
+        out.append((np.minimum(n, total) / np.maximum(total, 1), total > 0))
+    return out
+
+
+def door(cell: np.ndarray) -> np.ndarray:
+    """The gate of the last mixture: classes of how often the last two and the last token were seen, and whether the last was named after two."""
+    return (np.minimum(cell // (25 * LASTS), 4) * 4 + cell // 25 % LASTS // 4) * 2 + (cell % 25 // 5 == 3)
+
+
+def likelihoods(rows: DataFrame, model: dict, texts: int, tokens: int) -> np.ndarray:
+    """Training tokens by gate and by the classes of how much likelier each share makes them than the decisions
+    do. The whole text's occurrences are taken off all counts, as a text to be scored has none there."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    length = DOORS * KINDS ** (MIXED - 1)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(length)
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                trains, _, _, size, _, n, data, index, c0, c1, c2 = opened(blob)
+                words, some = word_list(data, int(n[0])), np.repeat(trains > 0, size)
+                index, c1, c2, size = (x.astype(np.int64) for x in (index[some], c1[some], c2[some], size[trains > 0]))
+                for ts, at in text_runs(size):
+                    sums += np.bincount(classes(words, size[ts], index[at], c0[index[at]].astype(np.int64), c1[at], c2[at]), minlength=length)
+        yield from _blocks(sums)
+
+    def classes(words: list[bytes], size: np.ndarray, index: np.ndarray, c0: np.ndarray, c1: np.ndarray, c2: np.ndarray) -> np.ndarray:
+        *own, n0, n1, n2 = own_counts(index, size, len(words), True)
+        rest = tokens - np.repeat(size, size)
+        level, counts, cell = states(*(np.maximum(c - n, 0) for c, n in ((c0, n0), (c1, n1), (c2, n2))), size, texts - 1, np.int64(0))
+        lp = token_scores(counts, cell, level, rest, shared.value)
+        again = np.flatnonzero((level == 0) & (own[2] > 0))  # new but for its own text; other new ones have no share anywhere
+        if len(again):
+            distinct, place = np.unique(index[again], return_inverse=True)
+            lp[again] += spelled([words[i] for i in distinct.tolist()], shared.value["speller"])[place]
+        code = door(cell)
+        for p, awake in known_shares(counts, rest, own):
+            with np.errstate(divide="ignore"):
+                kind = 2 + np.clip(np.floor(((np.log(p) - lp) / math.log(2) + 5) / 2), 0, KINDS - 3)
+            code = code * KINDS + np.where(awake, np.where(p > 0, kind, 1), 0).astype(np.int64)
+        return code
+
+    return _added(in_arrow(rows.select("blob"), run, _sums_schema()), length).reshape(DOORS, -1)
+
+
+def learn_mixture(seen: np.ndarray) -> np.ndarray:
+    """By gate: the weights that make the training tokens likeliest; all on the decisions where nothing was seen."""
+    gate, code = np.nonzero(seen)
+    n = seen[gate, code]
+    kinds = code[:, None] // KINDS ** np.arange(MIXED - 2, -1, -1) % KINDS
+    awake = np.hstack([np.ones((len(n), 1), bool), kinds > 0])
+    gain = np.hstack([np.ones((len(n), 1)), np.where(kinds > 1, 2.0 ** (2 * (kinds - 2) - 4), 0)])
+    weights = np.full((DOORS, MIXED), 1 / MIXED)
+    for _ in range(ROUNDS):
+        used = weights[gate] * awake
+        used /= used.sum(1, keepdims=True)
+        due = used * gain
+        due /= due.sum(1, keepdims=True)
+        for k in range(MIXED):
+            weights[:, k] *= (np.bincount(gate, n * due[:, k], DOORS) + 1) / (np.bincount(gate, n * used[:, k], DOORS) + 1)
+        weights /= weights.sum(1, keepdims=True)
+    trust = seen.sum(1, keepdims=True) / (seen.sum(1, keepdims=True) + FIRM)
+    return weights * trust + (1 - trust) * (np.arange(MIXED) == 0)
+
+
+def blended(lp: np.ndarray, shares: list, gate: np.ndarray, size: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Natural log of the mixture of the decisions' probability (``lp`` its log) and the shares. Within a text the
+    weights move online: each is multiplied by how much its prediction was due before the token against how much it was used."""
+    used = [weights[gate, 0], *(weights[gate, k] * awake for k, (_, awake) in enumerate(shares, 1))]
+    whole = sum(used)
+    used = [w / whole for w in used]
+    with np.errstate(divide="ignore"):
+        logs = [lp, *(np.where(w > 0, np.log(p), -np.inf) for w, (p, _) in zip(used[1:], shares))]
+    top = np.maximum.reduce(logs)
+    gain = [np.exp(x - top) for x in logs]
+    due = [w * g for w, g in zip(used, gain)]
+    whole = sum(due)
+    starts = np.cumsum(size) - size
+    moved = []
+    for w, d in zip(used, due):
+        factor = [_before(np.rint(x * 65536).astype(np.int64), starts, size) + FIRM * 65536 for x in (d / whole, w)]  # whole numbers, as above
+        moved.append(w * (factor[0] / factor[1]))
+    return top + np.log(sum(w * g for w, g in zip(moved, gain)) / sum(moved))
+
+
+def _before(x: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The sum over the tokens before each one in its text."""
+    total = np.cumsum(x) - x
+    return total - np.repeat(total[starts], size)
+
+
 # --- scoring -------------------------------------------------------------------------------------
 
 
@@ -648,21 +823,27 @@ def scored(rows: DataFrame, model: dict, texts: int, tokens: int, distinct: int)
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, blob in enumerate(batch.column(1).to_pylist()):
-                trains, reported, _, size, nbytes, n, data, index, c0, c1, c2 = (x if j == 6 else x.astype(np.int64) for j, x in enumerate(opened(blob)))
-                words, starts = word_list(data, int(n[0])), np.cumsum(size) - size
-                level, counts, cell = states(c0[index], c1, c2, size, texts, np.int64(0))
-                lp = token_scores(counts, cell, level, tokens, shared.value)
-                new = np.zeros(len(words))
-                at = np.flatnonzero(c0 == 0)
-                new[at] = spelled([words[j] for j in at.tolist()], shared.value["speller"])
-                lp += new[index]
-                base = np.log10(c0 + 1.0)[index] - math.log10(tokens + distinct + 1)
-                columns = [size, np.add.reduceat((c0 > 0)[index].astype(np.int64), starts), nbytes, np.add.reduceat(base, starts), np.add.reduceat(lp, starts)]
+                _, reported, _, size, nbytes, n, data, index, c0, c1, c2 = opened(blob)
+                words, size, c0 = word_list(data, int(n[0])), size.astype(np.int64), c0.astype(np.int64)
+                new, likely = np.zeros(len(words)), np.log10(c0 + 1.0)
+                some = np.flatnonzero(c0 == 0)
+                new[some] = spelled([words[j] for j in some.tolist()], shared.value["speller"])
+                columns = [size, np.empty_like(size), nbytes.astype(np.int64), np.empty(len(size)), np.empty(len(size))]
+                for ts, at in text_runs(size):
+                    here, starts = index[at].astype(np.int64), np.cumsum(size[ts]) - size[ts]
+                    level, counts, cell = states(c0[here], c1[at].astype(np.int64), c2[at].astype(np.int64), size[ts], texts, np.int64(0))
+                    lp = token_scores(counts, cell, level, tokens, shared.value) + new[here]
+                    if "mixture" in shared.value:
+                        shares = known_shares(counts, np.int64(tokens), own_counts(here, size[ts], len(words), False))
+                        lp = blended(lp, shares, door(cell), size[ts], shared.value["mixture"])
+                    base = likely[here] - math.log10(tokens + distinct + 1)
+                    for column, values in ((1, (c0 > 0)[here].astype(np.int64)), (3, base), (4, lp)):
+                        columns[column][ts] = np.add.reduceat(values, starts)
                 out = pa.array(reported > 0)
                 keys = batch.column(0).slice(i, 1).flatten()
                 yield pa.RecordBatch.from_arrays([keys.filter(out), *(pa.array(c).filter(out) for c in columns)], names=schema.names)
 
-    return rows.select("keys", "blob").mapInArrow(run, schema)
+    return in_arrow(rows.select("keys", "blob"), run, schema)
 
 
 def learned(docs: DataFrame) -> dict:
@@ -683,6 +864,12 @@ def learned(docs: DataFrame) -> dict:
     return {"rows": full, "model": model, "texts": texts, "tokens": tokens, "distinct": distinct}
 
 
+def mixed(found: dict) -> dict:
+    """What learned() found, with the weights of the last mixture, which are learned over its decisions and speller."""
+    seen = likelihoods(found["rows"], found["model"], found["texts"], found["tokens"])
+    return {**found, "model": {**found["model"], "mixture": learn_mixture(seen)}}
+
+
 def _result(found: dict, key: str) -> DataFrame:
     return scored(**found).select(
         F.col("key").alias(key), "n_tokens", "n_known", F.lit(found["tokens"]).cast("long").alias("train_tokens"), F.col("base").alias("base_score"),
@@ -697,9 +884,9 @@ def _docs(df: DataFrame, key: str, text: str, trains: Column, reported: bool) ->
 
 def score(df: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte of each row of ``df``, learning from ``training``."""
-    return _result(learned(_docs(training, key, text, F.lit(True), False).unionByName(_docs(df, key, text, F.lit(False), True))), key)
+    return _result(mixed(learned(_docs(training, key, text, F.lit(True), False).unionByName(_docs(df, key, text, F.lit(False), True)))), key)
 
 
 def score_held_out(df: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """As score(), learning from the rows of ``df`` where ``held_out`` is false."""
-    return _result(learned(_docs(df, key, text, ~held_out, True)), key)
+    return _result(mixed(learned(_docs(df, key, text, ~held_out, True))), key)
